@@ -106,10 +106,8 @@ def _texts(spark, sf_dir):
 
 @query("tfidf_features", "SELECT doc_id, 100000 AS dims FROM documents")
 def _tfidf_features(spark, sf_dir):
-    from pyspark.ml.functions import vector_to_array
-
     features = ml.tfidf_features(tokenize_lowercase(_texts(spark, sf_dir), "text"))
-    return features.select("doc_id", F.size(vector_to_array("features")).alias("dims"))
+    return features.select("doc_id", F.unwrap_udt("features")["size"].alias("dims"))
 
 
 @query(

@@ -134,14 +134,31 @@ def enrich_user_agent(
     rules: Sequence[tuple[str, str]] = BROWSER_RULES,
     os_rules: Sequence[tuple[str, str, str]] = OS_RULES,
 ) -> DataFrame:
-    """Add browser, browser_v, os and os_v; null where no rule fits."""
+    """Add browser, browser_v, os and os_v; null where no rule fits.
+
+    Name and version come from one chain of tests, which ends at the first hit.
+    """
     text = F.col(ua)
-    first = lambda tests: F.coalesce(*[F.when(text.rlike(p), v) for p, v in tests])
-    return df.withColumns(
-        {
-            "browser": first([(p, F.lit(name)) for name, p in rules]),
-            "browser_v": first([(p, F.regexp_extract(text, p, 1)) for _, p in rules]),
-            "os": first([(p, F.lit(family)) for family, p, _ in os_rules]),
-            "os_v": first([(p, F.lit(label)) for _, p, label in os_rules]),
-        }
+
+    def first(hits: list[tuple[str, Column]]) -> Column:
+        chain = None
+        for pattern, hit in hits:
+            chain = (F if chain is None else chain).when(text.rlike(pattern), hit)
+        return chain
+
+    browser = [
+        (p, F.struct(F.lit(n).alias("name"), F.regexp_extract(text, p, 1).alias("version"))) for n, p in rules
+    ]
+    system = [(p, F.struct(F.lit(n).alias("name"), F.lit(v).alias("version"))) for n, p, v in os_rules]
+    return (
+        df.withColumns({"_browser": first(browser), "_os": first(system)})
+        .withColumns(
+            {
+                "browser": F.col("_browser.name"),
+                "browser_v": F.col("_browser.version"),
+                "os": F.col("_os.name"),
+                "os_v": F.col("_os.version"),
+            }
+        )
+        .drop("_browser", "_os")
     )

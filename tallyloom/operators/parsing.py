@@ -128,39 +128,39 @@ def parse_ad_clicks(df: DataFrame, col: str = "value", exact: bool = True) -> Da
     )
 
 
-def _query_fields(uri: Column) -> Column:
-    """``path?k=v&k=v`` to an array of (k, decoded v); none unless there is one question mark part."""
-    halves = split_trimmed(uri, r"\?")
-    pairs = F.transform(
-        F.split(F.regexp_replace(halves[1], "&+$", ""), "&"),
-        lambda kv: F.struct(
-            F.split(kv, "=")[0].alias("k"),
-            F.try_url_decode(F.nullif(F.get(F.split(kv, "="), F.lit(1)), F.lit(""))).alias("v"),
-        ),
-    )
-    return F.when(F.size(halves) == 2, pairs).otherwise(
-        F.array().cast("array<struct<k:string,v:string>>")
-    )
-
-
 def parse_event_log(df: DataFrame, col: str = "value", keep: Sequence[str] = ()) -> DataFrame:
     """``ip^Aseconds^Ahost^A/path?k=v&…`` to a map column ``fields``.
 
-    The map holds ``ip``, ``s_time``, ``http_host`` and the query fields; of a
-    repeated key the last value counts.
+    The map holds ``ip``, ``s_time``, ``http_host`` and the decoded query
+    fields; of a repeated key the last value counts.  The path must hold one
+    question mark with text on both sides, otherwise it gives no fields.
+
+    Every step is a projection of its own, so what it makes is made once,
+    however often the next one uses it.
     """
-    part = F.col("part")
-    heads = [
-        F.struct(F.lit(name).alias("k"), part[i].alias("v"))
-        for i, name in enumerate(("ip", "s_time", "http_host"))
-    ]
-    last_value = lambda k: F.element_at(F.filter("entries", lambda e: e["k"] == k), -1)["v"]
+    part, halves, tidy, keys = (F.col(c) for c in ("_part", "_halves", "_tidy", "_keys"))
+    # The head fields come first, so that a query field of the same name replaces them.
+    heads = [F.concat(F.lit(f"{n}="), F.url_encode(part[i])) for i, n in enumerate(("ip", "s_time", "http_host"))]
+    repeated = F.size(keys) != F.size(F.array_distinct(keys))
+    # Without the parts whose key comes again later.
+    last = F.regexp_replace(tidy, r"(?<![^&])([^=&]*)(?:=[^&]*)?&(?=(?:[^&]*&)*\1(?:[=&]|$))", "")
+    value = lambda k, v: F.when(v != "", F.try_url_decode(F.substring_index(v, "=", 1)))
+    pairs = F.transform_values(F.str_to_map("_pairs", F.lit("&"), F.lit("=")), value)
     return (
-        df.select(*keep, split_trimmed(F.col(col), EVENT_LOG_SEPARATOR).alias("part"))
-        .filter(F.size("part") == 4)
-        .select(*keep, F.concat(F.array(*heads), _query_fields(part[3])).alias("entries"))
-        .select(*keep, "entries", F.array_distinct("entries.k").alias("names"))
-        .select(*keep, F.map_from_arrays("names", F.transform("names", last_value)).alias("fields"))
+        df.select(*keep, split_trimmed(F.col(col), EVENT_LOG_SEPARATOR).alias("_part"))
+        .select(
+            *keep,
+            (F.size(part) == 4).alias("_fits"),
+            F.when(F.size(part) >= 3, F.concat_ws("&", *heads)).alias("_heads"),
+            split_trimmed(F.get(part, F.lit(3)), r"\?").alias("_halves"),
+        )
+        .select(*keep, "_fits", F.concat_ws("&", "_heads", F.when(F.size(halves) == 2, halves[1])).alias("_joined"))
+        .select(*keep, "_fits", F.regexp_replace(F.btrim("_joined", F.lit("&")), "&&+", "&").alias("_tidy"))
+        .select(*keep, "_fits", "_tidy", F.split(F.regexp_replace(tidy, "=[^&]*", ""), "&").alias("_keys"))
+        .select(*keep, "_fits", F.when(repeated, last).otherwise(tidy).alias("_pairs"))
+        # Exploding a row into itself leaves out the lines that do not fit, and
+        # keeps conditions on the fields from being moved in front of the parsing.
+        .select(*keep, F.explode(F.when(F.col("_fits"), F.array(pairs))).alias("fields"))
     )
 
 
