@@ -20,6 +20,7 @@ from suite.tables import (
 from suite.windows import (
     _ORDER_WINDOWS,
     _WINDOW_WORDS,
+    AD_PERIODS,
     AD_STATE_SQL,
     CELLS,
     DYNAMIC,
@@ -167,11 +168,16 @@ def _ad_click_state_running(spark, sf_dir):
     return _upserted(spark, counts, list(state.STATE_KEYS), "ad-state")
 
 
-@query("ad_click_state_expiring", AD_STATE_SQL)
-def _ad_click_state_expiring(spark, sf_dir):
-    """With an idle time longer than the data no key expires; the tests let keys expire."""
-    counts = state.ad_click_state_expiring(ad_click_stream(spark, sf_dir), idle="400 days")
-    return _upserted(spark, counts, list(state.STATE_KEYS), "expiring")
+@query(
+    "ad_click_state_expiring_running",
+    AD_PERIODS + "SELECT * FROM periods WHERE period_end <= (SELECT max(ts) - INTERVAL 10 MINUTE FROM events)",
+)
+def _ad_click_state_expiring_running(spark, sf_dir):
+    """The periods that were over by the watermark: ten minutes before the latest click."""
+    path = new_path(spark, "periods")
+    periods = state.ad_click_state_expiring(ad_click_stream(spark, sf_dir), idle="12 hours")
+    run_to_end(periods, stores.append_sink(path), new_path(spark, "periods-checkpoint"), mode="append")
+    return _plain(spark.read.parquet(path).drop(stores.BATCH), "period_start", "period_end")
 
 
 @query("stream_route_by_type", with_ctes(ORDERS, ROUTED) + "SELECT order_id, order_type, target FROM routed")

@@ -159,6 +159,28 @@ def _ad_click_state_mapped(spark, sf_dir):
     return state.ad_click_state_mapped(ad_clicks(spark, sf_dir))
 
 
+# A click opens a period if the one before it is twelve hours or more away.
+AD_PERIODS = (
+    with_ctes(AD_CLICKS)
+    + """, marked AS (
+           SELECT *, strftime(ts, '%Y%m%d') AS date, CASE WHEN ts - lag(ts) OVER (
+             PARTITION BY strftime(ts, '%Y%m%d'), province, city, ad_id ORDER BY ts) < INTERVAL 12 HOUR
+             THEN 0 ELSE 1 END AS opens FROM ad_clicks),
+         numbered AS (
+           SELECT *, sum(opens) OVER (PARTITION BY date, province, city, ad_id ORDER BY ts
+             ROWS UNBOUNDED PRECEDING) AS period FROM marked),
+         periods AS (
+           SELECT date, province, city, ad_id, min(ts) AS period_start,
+                  max(ts) + INTERVAL 12 HOUR AS period_end, count(*) AS click_count
+           FROM numbered GROUP BY date, province, city, ad_id, period) """
+)
+
+
+@query("ad_click_state_expiring", AD_PERIODS + "SELECT * FROM periods")
+def _ad_click_state_expiring(spark, sf_dir):
+    return state.ad_click_state_expiring(ad_clicks(spark, sf_dir), idle="12 hours")
+
+
 _AD_WINDOWS = with_ctes(AD_CLICKS, window_cte("w", "ad_clicks", "ad_id", 10 * HOUR, HOUR))
 _BOUND = "strftime(window_{0}, '%Y/%m/%d %H:%M:%S')"
 

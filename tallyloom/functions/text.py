@@ -104,10 +104,22 @@ def event_row_key(
     return F.concat_ws(sep, time_ms.cast("string"), crc.cast("string"))
 
 
+def without_end(text: Column, separator: str) -> Column:
+    """Cut off separators at the end; ``separator`` is a pattern for a single one."""
+    return F.regexp_replace(text, rf"(?<!{separator})(?:{separator})++\z", "")
+
+
 def split_trimmed(text: Column, separator: str) -> Column:
-    """Split by a regular expression and leave out empty parts at the end.
+    """Split at every separator and leave out empty parts at the end."""
+    return F.split(without_end(text, separator), separator)
+
+
+def split_words(text: Column) -> Column:
+    """Split at white space.
 
-    A text made of separators only has no parts; an empty text has one empty part.
+    White space in front gives one empty word, an empty text is one empty
+    word, and a text of white space has no words.
     """
-    parts = F.split(F.regexp_replace(text, f"(?:{separator})+$", ""), separator)
-    return F.when(text.rlike(rf"\A(?:{separator})+\z"), F.array().cast("array<string>")).otherwise(parts)
+    trimmed = without_end(text, r"\s")
+    blank = F.when(text == "", F.array(F.lit(""))).otherwise(F.array().cast("array<string>"))
+    return F.when(trimmed == "", blank).otherwise(F.split(trimmed, r"\s+"))

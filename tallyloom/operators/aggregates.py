@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.functions.dates import server_time_to_millis
-from tallyloom.functions.text import browser_dimension, platform_dimension, split_trimmed
+from tallyloom.functions.text import browser_dimension, platform_dimension, split_words
 
 LAUNCH = "e_l"
 
@@ -34,8 +34,7 @@ def rounded_sum(value: Column, scale: int = 2) -> Column:
 
 def words(df: DataFrame, col: str, drop_blank: bool = False, keep: Sequence[str] = ()) -> DataFrame:
     """One row for each word; ``drop_blank`` trims words and leaves out empty ones."""
-    parts = split_trimmed(F.col(col), r"\s+")
-    exploded = df.select(*keep, F.explode(parts).alias("word"))
+    exploded = df.select(*keep, F.explode(split_words(F.col(col))).alias("word"))
     return exploded.filter(F.trim("word") != "") if drop_blank else exploded
 
 
@@ -132,22 +131,22 @@ def group_concat_distinct(df: DataFrame, keys: list[str], id: str, name: str, ou
     """For each group ``id:name:count,…``, sorted by id.
 
     Counted by (keys, id, name) first; what is gathered for a group is one
-    short text for each distinct id.
+    short entry for each distinct id.
     """
     counted = df.groupBy(*keys, id, name).agg(F.count(F.lit(1)).alias("_n"))
-    return concat_counts(counted, keys, id, name, "_n", out)
+    gathered = counted.groupBy(*keys).agg(_entries(id, name).alias(out))
+    return gathered.withColumn(out, _entries_text(F.col(out)))
 
 
-def concat_counts(
-    counted: DataFrame, keys: list[str], id: str, name: str, n: str, out: str, *more: Column
-) -> DataFrame:
-    """The second level of ``group_concat_distinct`` over counts that exist already."""
-    label = F.concat_ws(
-        ":", F.col(id).cast("string"), F.coalesce(F.col(name), F.lit("null")), F.col(n).cast("string")
+def _entries(id: str, name: str) -> Column:
+    return F.collect_list(F.struct(F.col(id).alias("id"), F.col(name).alias("name"), F.col("_n").alias("n")))
+
+
+def _entries_text(entries: Column) -> Column:
+    label = lambda e: F.concat_ws(
+        ":", e["id"].cast("string"), F.coalesce(e["name"], F.lit("null")), e["n"].cast("string")
     )
-    entries = F.sort_array(F.collect_list(F.struct(F.col(id).alias("id"), label.alias("label"))))
-    joined = F.array_join(F.transform(entries, lambda e: e["label"]), ",")
-    return counted.groupBy(*keys).agg(*more, joined.alias(out))
+    return F.array_join(F.transform(F.sort_array(entries), label), ",")
 
 
 def conditional_count(df: DataFrame, keys: list[str], col: str) -> DataFrame:
@@ -155,17 +154,26 @@ def conditional_count(df: DataFrame, keys: list[str], col: str) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.when(F.length(col) > 0, F.col(col))).alias("cnt"))
 
 
-def area_product_clicks(df: DataFrame) -> DataFrame:
-    """Clicks for each area and product, with the clicks of its cities as text.
+def area_product_entries(df: DataFrame) -> DataFrame:
+    """Clicks for each area and product, with the counts of its cities as a list.
 
     Expects area, click_product_id, city_id and city_name.  One count by city
     serves both results.
     """
     keys = ["area", "click_product_id"]
     by_city = df.groupBy(*keys, "city_id", "city_name").agg(F.count(F.lit(1)).alias("_n"))
-    return concat_counts(
-        by_city, keys, "city_id", "city_name", "_n", "city_infos", F.sum("_n").alias("click_count")
-    )
+    cities = _entries("city_id", "city_name").alias("city_infos")
+    return by_city.groupBy(*keys).agg(F.sum("_n").alias("click_count"), cities)
+
+
+def entries_as_text(df: DataFrame) -> DataFrame:
+    """The city list of ``area_product_entries`` as ``id:name:count,…``."""
+    return df.withColumn("city_infos", _entries_text(F.col("city_infos")))
+
+
+def area_product_clicks(df: DataFrame) -> DataFrame:
+    """Clicks for each area and product, with the clicks of its cities as text."""
+    return entries_as_text(area_product_entries(df))
 
 
 def new_user_dimensions(df: DataFrame) -> DataFrame:

@@ -4,15 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.ml import PipelineModel
 from pyspark.ml.classification import NaiveBayes
 from pyspark.ml.feature import IDF, HashingTF, Word2Vec
-from pyspark.ml.pipeline import Pipeline
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.functions.text import split_trimmed
+from tallyloom.functions.text import split_words
 
 # News categories and their numbers.
 NEWS_LABELS = {"b": 0.0, "t": 1.0, "e": 2.0, "m": 3.0}
@@ -89,14 +87,15 @@ def save_load_model(model, path: str):
     return type(model).load(path)
 
 
-def tfidf_model(df: DataFrame, col: str = "words", dims: int = 100_000) -> PipelineModel:
-    """Hashed term frequencies and their inverse document frequency, fitted on ``df``."""
-    tf = HashingTF(inputCol=col, outputCol="tf", numFeatures=dims)
-    return Pipeline(stages=[tf, IDF(inputCol="tf", outputCol="features")]).fit(df)
+def term_frequencies(df: DataFrame, col: str = "words", dims: int = 100_000) -> DataFrame:
+    """Add hashed term frequencies as ``tf``."""
+    return HashingTF(inputCol=col, outputCol="tf", numFeatures=dims).transform(df)
 
 
 def tfidf_features(df: DataFrame, col: str = "words", dims: int = 100_000) -> DataFrame:
-    return tfidf_model(df, col, dims).transform(df).drop("tf")
+    """Add term frequencies times inverse document frequency as ``features``."""
+    counted = term_frequencies(df, col, dims)
+    return IDF(inputCol="tf", outputCol="features").fit(counted).transform(counted).drop("tf")
 
 
 def label_index(df: DataFrame, col: str, mapping: Mapping[str, float] = NEWS_LABELS) -> DataFrame:
@@ -127,16 +126,24 @@ def multiclass_metrics(df: DataFrame, label: str = "label", pred: str = "predict
 
 
 def word2vec_synonyms(
-    df: DataFrame, col: str, word: str, n: int = 10, seed: int = 42, min_count: int = 5
+    df: DataFrame,
+    col: str,
+    word: str,
+    n: int = 10,
+    seed: int = 42,
+    min_count: int = 5,
+    partitions: int | None = None,
 ) -> DataFrame:
-    """The words nearest to ``word``; ``col`` holds lists of words."""
-    model = Word2Vec(inputCol=col, outputCol="vector", minCount=min_count, seed=seed).fit(df)
-    return model.findSynonyms(word, n)
+    """The words nearest to ``word``; ``col`` holds lists of words.
+
+    Spark would train in one task; here it is one for each core unless given.
+    """
+    trainer = Word2Vec(inputCol=col, outputCol="vector", minCount=min_count, seed=seed)
+    trainer.setNumPartitions(partitions or df.sparkSession.sparkContext.defaultParallelism)
+    return trainer.fit(df.select(col)).findSynonyms(word, n)
 
 
 def news_words(df: DataFrame, col: str) -> DataFrame:
     """Words for ``word2vec_synonyms``: lower case, without commas."""
-    words = F.transform(
-        split_trimmed(F.col(col), r"\s+"), lambda w: F.replace(F.lower(w), F.lit(","), F.lit(""))
-    )
-    return df.withColumn("words", words)
+    words = split_words(F.lower(F.col(col)))
+    return df.withColumn("words", F.transform(words, lambda w: F.replace(w, F.lit(","), F.lit(""))))

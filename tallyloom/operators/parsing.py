@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom import schemas
-from tallyloom.functions.text import split_trimmed
+from tallyloom.functions.text import split_trimmed, split_words, without_end
 
 # The line formats and event names that inputs follow.
 ACCESS_LOG_PATTERN = (
@@ -61,7 +61,7 @@ def parse_access_log_split(df: DataFrame, col: str = "value") -> DataFrame:
     part = F.col("part")
     bare = lambda c, mark: F.replace(c, F.lit(mark), F.lit(""))
     return (
-        df.select(split_trimmed(F.col(col), r"\s+").alias("part"))
+        df.select(split_words(F.col(col)).alias("part"))
         .filter(F.size("part") == 10)
         .select(
             part[0].alias("ip_address"),
@@ -172,11 +172,16 @@ def filter_event_types(
 
 
 def tokenize_lowercase(df: DataFrame, col: str, out: str = "words") -> DataFrame:
-    """Words in lower case without commas and full stops."""
-    words = F.transform(
-        split_trimmed(F.col(col), r"\s+"), lambda w: F.regexp_replace(F.lower(w), "[,.]", "")
-    )
-    return df.withColumn(out, words)
+    """Words in lower case without commas and full stops.
+
+    A word of nothing but those marks stays as an empty word, so the white
+    space becomes single blanks before the marks go.
+    """
+    text = F.col(col)
+    single = F.regexp_replace(without_end(text, r"\s"), r"\s+", " ")
+    words = F.split(F.translate(F.lower(single), ",.", ""), " ")
+    no_words = F.array().cast("array<string>")
+    return df.withColumn(out, F.when(text.rlike(r"\S") | (text == ""), words).otherwise(no_words))
 
 
 def optional_date_range(

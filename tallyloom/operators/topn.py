@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyloom.operators.aggregates import area_product_clicks
+from tallyloom.operators.aggregates import area_product_entries, entries_as_text
 
 
 def first_n(df: DataFrame, keys: list[str], order: list[Column], n: int, rank: str = "rank") -> DataFrame:
@@ -61,9 +61,13 @@ def top_k_custom_order(df: DataFrame, expr: Column, tie: str, n: int = 3) -> Dat
 
 
 def area_top_products(clicks_with_area: DataFrame, n: int = 10) -> DataFrame:
-    """The most clicked products of every area."""
-    counted = area_product_clicks(clicks_with_area)
-    return first_n(counted, ["area"], [F.desc("click_count"), F.asc("click_product_id")], n)
+    """The most clicked products of every area.
+
+    The city lists become text after the ranking, for the products that are in it.
+    """
+    counted = area_product_entries(clicks_with_area)
+    order = [F.desc("click_count"), F.asc("click_product_id")]
+    return entries_as_text(first_n(counted, ["area"], order, n))
 
 
 def province_top5_ads(state: DataFrame, n: int = 5) -> DataFrame:

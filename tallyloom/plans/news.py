@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.ml.classification import NaiveBayes
+from pyspark.ml.feature import IDF
 from pyspark.sql import DataFrame
 
-from tallyloom.operators.ml import NEWS_LABELS, label_index, tfidf_model
+from tallyloom.operators.ml import NEWS_LABELS, label_index, naive_bayes_classify, term_frequencies
 from tallyloom.operators.parsing import tokenize_lowercase
 from tallyloom.operators.routing import train_test_split
+from tallyloom.shared_folder import staged
 
 
 def classify_news(
@@ -20,8 +21,13 @@ def classify_news(
     dims: int = 100_000,
     seed: int = 42,
 ) -> DataFrame:
-    """Predictions for the test part; features are fitted on all rows, the model on the training part."""
+    """Predictions for the test part; weights are fitted on all rows, the model on the training part.
+
+    The term frequencies are staged: weights, model and predictions each read
+    them, and the texts are taken apart once.
+    """
     labelled = label_index(tokenize_lowercase(news, title), category, labels)
-    featured = tfidf_model(labelled, dims=dims).transform(labelled).select("label", "features")
-    train, test = train_test_split(featured, seed=seed)
-    return NaiveBayes(smoothing=1.0).fit(train).transform(test).select("label", "prediction")
+    counted = staged(term_frequencies(labelled, dims=dims).select("label", "tf"), "terms")
+    featured = IDF(inputCol="tf", outputCol="features").fit(counted).transform(counted)
+    train, test = train_test_split(featured.select("label", "features"), seed=seed)
+    return naive_bayes_classify(train, test).select("label", "prediction")

@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.functions.text import split_trimmed
+from tallyloom.functions.text import split_words
 
 
 def read_text_pairs(spark: SparkSession, path: str) -> DataFrame:
     """Lines of ``key value``, split at white space."""
-    parts = split_trimmed(F.col("value"), r"\s+")
+    parts = split_words(F.col("value"))
     return (
         spark.read.text(path)
         .select(parts.alias("p"))
