@@ -19,9 +19,6 @@ from tallyloom.shared_folder import staged
 from tallyloom.sources.streams import stream_union
 from tallyloom.streaming import blacklist, ingest, state, windows
 
-_UNITS = {"s": 1, "minutes": 60, "hours": 3600, "days": 86400}
-
-
 def window_cte(name: str, source: str, columns: str, size: int, slide: int) -> str:
     """Rows of ``source`` once for each window they lie in; starts are multiples of the slide."""
     steps = (size + slide - 1) // slide
@@ -159,12 +156,12 @@ def _ad_click_state_mapped(spark, sf_dir):
     return state.ad_click_state_mapped(ad_clicks(spark, sf_dir))
 
 
-# A click opens a period if the one before it is twelve hours or more away.
+# A click opens a period if the one before it is more than twelve hours away.
 AD_PERIODS = (
     with_ctes(AD_CLICKS)
     + """, marked AS (
            SELECT *, strftime(ts, '%Y%m%d') AS date, CASE WHEN ts - lag(ts) OVER (
-             PARTITION BY strftime(ts, '%Y%m%d'), province, city, ad_id ORDER BY ts) < INTERVAL 12 HOUR
+             PARTITION BY strftime(ts, '%Y%m%d'), province, city, ad_id ORDER BY ts) <= INTERVAL 12 HOUR
              THEN 0 ELSE 1 END AS opens FROM ad_clicks),
          numbered AS (
            SELECT *, sum(opens) OVER (PARTITION BY date, province, city, ad_id ORDER BY ts

@@ -160,10 +160,14 @@ def area_product_entries(df: DataFrame) -> DataFrame:
     Expects area, click_product_id, city_id and city_name.  One count by city
     serves both results.
     """
-    keys = ["area", "click_product_id"]
-    by_city = df.groupBy(*keys, "city_id", "city_name").agg(F.count(F.lit(1)).alias("_n"))
+    keys = ["area", "click_product_id", "city_id", "city_name"]
+    return city_counts_to_areas(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")))
+
+
+def city_counts_to_areas(by_city: DataFrame) -> DataFrame:
+    """The same from counts ``_n`` for each product and city, a city on one row."""
     cities = _entries("city_id", "city_name").alias("city_infos")
-    return by_city.groupBy(*keys).agg(F.sum("_n").alias("click_count"), cities)
+    return by_city.groupBy("area", "click_product_id").agg(F.sum("_n").alias("click_count"), cities)
 
 
 def entries_as_text(df: DataFrame) -> DataFrame:

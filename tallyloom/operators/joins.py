@@ -16,12 +16,7 @@ BROADCAST_ROWS = 1_000_000
 
 def clicks_left_join_city(clicks: DataFrame, cities: DataFrame) -> DataFrame:
     """Clicks with city and area; a click of an unknown city stays, without an area."""
-    joined = clicks.withColumnRenamed("city_id", "cid").join(
-        cities, F.col("cid") == F.col("city_id"), "left"
-    )
-    return joined.select(
-        F.col("cid").alias("city_id"), "click_product_id", "city_name", "area"
-    )
+    return clicks.join(cities, "city_id", "left")
 
 
 def clicks_join_city(clicks: DataFrame, cities: DataFrame) -> DataFrame:

@@ -61,11 +61,12 @@ def top_k_custom_order(df: DataFrame, expr: Column, tie: str, n: int = 3) -> Dat
 
 
 def area_top_products(clicks_with_area: DataFrame, n: int = 10) -> DataFrame:
-    """The most clicked products of every area.
+    """The most clicked products of every area."""
+    return top_of_areas(area_product_entries(clicks_with_area), n)
 
-    The city lists become text after the ranking, for the products that are in it.
-    """
-    counted = area_product_entries(clicks_with_area)
+
+def top_of_areas(counted: DataFrame, n: int = 10) -> DataFrame:
+    """The same from counts; the city lists become text after the ranking, for the products in it."""
     order = [F.desc("click_count"), F.asc("click_product_id")]
     return entries_as_text(first_n(counted, ["area"], order, n))
 

@@ -16,7 +16,7 @@ from tallyloom.streaming.runner import resume_from_checkpoint
 from tallyloom.streaming.state import STATE_KEYS, click_dimensions
 from tallyloom.streaming.windows import window_counts
 
-BLACKLIST_WINDOW = ("60 s", "18 s")
+BLACKLIST_WINDOW = ("60 seconds", "18 seconds")
 
 
 def start_blacklist(

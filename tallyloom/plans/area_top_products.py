@@ -14,7 +14,7 @@ from tallyloom.functions.text import (
     is_not_empty,
     product_type_label,
 )
-from tallyloom.operators.aggregates import conditional_count
+from tallyloom.operators.aggregates import city_counts_to_areas, conditional_count
 from tallyloom.operators.joins import (
     clicks_join_city,
     clicks_left_join_city,
@@ -22,7 +22,7 @@ from tallyloom.operators.joins import (
     top10_join_product,
 )
 from tallyloom.operators.parsing import optional_date_range
-from tallyloom.operators.topn import area_top_products, first_n
+from tallyloom.operators.topn import first_n, top_of_areas
 from tallyloom.shared_folder import staged
 
 
@@ -46,9 +46,18 @@ def area_top10_products(
     levels: Mapping[str, str] = AREA_LEVELS,
     keep_unknown_cities: bool = True,
 ) -> DataFrame:
-    """Filter, join the city, count, rank, join the product and label, in one plan."""
+    """Filter, count, join the city, rank, join the product and label, in one plan.
+
+    Clicks are counted by product and city before the city is joined: the
+    join gets counts instead of clicks.  ``cities`` has one row for a city.
+    """
+    by_city = (
+        product_clicks(visits, start, end)
+        .groupBy("click_product_id", "city_id")
+        .agg(F.count(F.lit(1)).alias("_n"))
+    )
     join = clicks_left_join_city if keep_unknown_cities else clicks_join_city
-    top = area_top_products(join(product_clicks(visits, start, end), cities), n)
+    top = top_of_areas(city_counts_to_areas(join(by_city, cities)), n)
     return top10_join_product(top, products).select(
         "area",
         area_level(F.col("area"), levels).alias("area_level"),

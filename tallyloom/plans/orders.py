@@ -25,8 +25,8 @@ def start_window_counts(
     orders: DataFrame,
     path: str,
     checkpoint: str,
-    size: str = "20 s",
-    slide: str = "8 s",
+    size: str = "20 seconds",
+    slide: str = "8 seconds",
     every: str | None = None,
 ) -> StreamingQuery:
     """Orders of each province in each window, kept as latest value by window and province."""

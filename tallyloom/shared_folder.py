@@ -17,14 +17,14 @@ SETTING = "spark.checkpoint.dir"
 
 def shared_folder(spark: SparkSession) -> str:
     """The cluster's shared folder; a temporary one only in local mode."""
-    named = spark.conf.get(SETTING, None)
+    context = spark.sparkContext
+    named = spark.conf.get(SETTING, None) or context.getCheckpointDir()
     if named:
         return named
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise ValueError(f"set {SETTING} to a folder that all executors can reach")
-    local = tempfile.mkdtemp(prefix="tallyloom-")
-    spark.conf.set(SETTING, local)
-    return local
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="tallyloom-"))
+    return context.getCheckpointDir()
 
 
 def new_path(spark: SparkSession, label: str) -> str:

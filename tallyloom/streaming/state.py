@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.operators.aggregates import exact, word_count
+from tallyloom.streaming.windows import seconds
 
 DAY_PATTERN = "yyyyMMdd"
 STATE_KEYS = ("date", "province", "city", "ad_id")
@@ -59,18 +60,33 @@ def ad_click_state_mapped(df: DataFrame, ts: str = "ts") -> DataFrame:
 def ad_click_state_expiring(
     df: DataFrame, idle: str = "36 seconds", ts: str = "ts", lateness: str = "10 minutes"
 ) -> DataFrame:
-    """Clicks of a key until it has none for the time ``idle``; then it starts again from 0.
+    """Clicks of a key until it has none for longer than ``idle``; then it starts again from 0.
 
     Such a period is a session window with ``idle`` as its gap.  On a stream,
     run it in ``append`` mode: a period comes out, and its state goes, once
     the watermark is past its end.
+
+    A session needs all rows of a key in one task.  Static clicks are
+    therefore counted first in panes of the length ``idle``, in which no
+    period can end; a pane then counts as one click that lasts from its first
+    to its last.  A hot key sends one row for each pane of its day.
     """
-    source = df.withWatermark(ts, lateness) if df.isStreaming else df
     day = F.date_format(ts, DAY_PATTERN).alias("date")
+    if df.isStreaming:
+        clicks = df.withWatermark(ts, lateness).select(ts, day, "province", "city", "ad_id")
+        period, counted = F.session_window(ts, idle), F.count(F.lit(1))
+    else:
+        micros = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
+        lasts = F.lit(seconds(idle)) + ((micros("_last") - micros("_first")) / 1_000_000).cast("decimal(18,6)")
+        clicks = (
+            df.groupBy(day, "province", "city", "ad_id", F.window(ts, idle))
+            .agg(F.min(ts).alias("_first"), F.max(ts).alias("_last"), F.count(F.lit(1)).alias("_n"))
+            .withColumn("_lasts", F.make_interval(secs=lasts))
+        )
+        period, counted = F.session_window("_first", F.col("_lasts")), F.sum("_n")
     return (
-        source.select(ts, day, "province", "city", "ad_id")
-        .groupBy(F.session_window(ts, idle).alias("period"), *STATE_KEYS)
-        .agg(F.count(F.lit(1)).alias("click_count"))
+        clicks.groupBy(period.alias("period"), *STATE_KEYS)
+        .agg(counted.alias("click_count"))
         .select(
             *STATE_KEYS,
             F.col("period.start").alias("period_start"),
@@ -97,8 +113,6 @@ def ad_click_state_expiring_updates(
     """
     from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-    from tallyloom.streaming.windows import seconds
-
     idle_ms = seconds(idle) * 1000
     keys = list(STATE_KEYS)
     day = F.date_format(ts, DAY_PATTERN).alias("date")

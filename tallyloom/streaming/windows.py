@@ -18,14 +18,13 @@ from tallyloom.operators.topn import first_n
 
 LATENESS = "10 minutes"
 BOUND_PATTERN = "yyyy/MM/dd HH:mm:ss"
-_UNITS = {"s": 1, "second": 1, "minute": 60, "hour": 3600, "day": 86400}
+_UNITS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400}
 
 
 def seconds(duration: str) -> int:
-    """``20 s``, ``2 minutes``, ``1 day`` … as seconds."""
+    """``20 seconds``, ``2 minutes``, ``1 day`` … as a number."""
     number, unit = duration.split()
-    unit = unit if unit == "s" else unit.rstrip("s")
-    return int(number) * _UNITS[unit]
+    return int(number) * _UNITS[unit.rstrip("s")]
 
 
 def watermarked(df: DataFrame, ts: str, lateness: str = LATENESS) -> DataFrame:
@@ -68,14 +67,14 @@ def window_counts(
 
 
 def window_word_count(
-    df: DataFrame, ts: str = "ts", size: str = "9 s", slide: str = "6 s", col: str = "value"
+    df: DataFrame, ts: str = "ts", size: str = "9 seconds", slide: str = "6 seconds", col: str = "value"
 ) -> DataFrame:
     """Words for each sliding window."""
     return window_counts(words(df, col, drop_blank=True, keep=[ts]), ts, ["word"], size, slide)
 
 
 def window_word_count_incremental(
-    df: DataFrame, ts: str = "ts", size: str = "9 s", slide: str = "6 s", col: str = "value"
+    df: DataFrame, ts: str = "ts", size: str = "9 seconds", slide: str = "6 seconds", col: str = "value"
 ) -> DataFrame:
     """The same result; Spark keeps one count for each open window and adds to it.
 
@@ -88,8 +87,8 @@ def window_word_count_incremental(
 def window_order_count(
     df: DataFrame,
     ts: str = "ts",
-    size: str = "20 s",
-    slide: str = "10 s",
+    size: str = "20 seconds",
+    slide: str = "10 seconds",
     province: str = "province_id",
 ) -> DataFrame:
     """Orders of each province for each sliding window."""
@@ -105,8 +104,8 @@ def top_of_windows(counts: DataFrame, key: str, n: int) -> DataFrame:
 def window_top5_provinces(
     df: DataFrame,
     ts: str = "ts",
-    size: str = "20 s",
-    slide: str = "8 s",
+    size: str = "20 seconds",
+    slide: str = "8 seconds",
     n: int = 5,
     province: str = "province_id",
 ) -> DataFrame:
@@ -117,8 +116,8 @@ def window_top5_provinces(
 def dynamic_blacklist(
     df: DataFrame,
     white: DataFrame,
-    size: str = "60 s",
-    slide: str = "18 s",
+    size: str = "60 seconds",
+    slide: str = "18 seconds",
     threshold: int = 100,
     ts: str = "ts",
     user: str = "user_id",
@@ -138,8 +137,8 @@ def dynamic_blacklist(
 
 def ad_click_window(
     df: DataFrame,
-    size: str = "60 s",
-    slide: str = "6 s",
+    size: str = "60 seconds",
+    slide: str = "6 seconds",
     ts: str = "ts",
     ad: str = "ad_id",
     pattern: str = BOUND_PATTERN,
@@ -155,7 +154,7 @@ def ad_click_window(
 
 
 def ad_click_window_packed(
-    df: DataFrame, size: str = "60 s", slide: str = "6 s", ts: str = "ts", ad: str = "ad_id"
+    df: DataFrame, size: str = "60 seconds", slide: str = "6 seconds", ts: str = "ts", ad: str = "ad_id"
 ) -> DataFrame:
     """The same as key and value: ``start:end,ad`` and the count."""
     window = F.concat_ws(":", "window_start", "window_end")
