@@ -104,14 +104,12 @@ def event_row_key(
     return F.concat_ws(sep, time_ms.cast("string"), crc.cast("string"))
 
 
-def without_end(text: Column, separator: str) -> Column:
-    """Cut off separators at the end; ``separator`` is a pattern for a single one."""
-    return F.regexp_replace(text, rf"(?<!{separator})(?:{separator})++\z", "")
+WHITE_SPACE = " \t\n\x0b\f\r"
 
 
 def split_trimmed(text: Column, separator: str) -> Column:
-    """Split at every separator and leave out empty parts at the end."""
-    return F.split(without_end(text, separator), separator)
+    """Split at every ``separator``, one character, and leave out empty parts at the end."""
+    return F.split(F.rtrim(text, F.lit(separator)), rf"\{separator}")
 
 
 def split_words(text: Column) -> Column:
@@ -120,6 +118,6 @@ def split_words(text: Column) -> Column:
     White space in front gives one empty word, an empty text is one empty
     word, and a text of white space has no words.
     """
-    trimmed = without_end(text, r"\s")
+    trimmed = F.rtrim(text, F.lit(WHITE_SPACE))
     blank = F.when(text == "", F.array(F.lit(""))).otherwise(F.array().cast("array<string>"))
     return F.when(trimmed == "", blank).otherwise(F.split(trimmed, r"\s+"))

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom import schemas
-from tallyloom.functions.text import split_trimmed, split_words, without_end
+from tallyloom.functions.text import WHITE_SPACE, split_trimmed, split_words
 
 # The line formats and event names that inputs follow.
 ACCESS_LOG_PATTERN = (
@@ -30,18 +30,27 @@ ACCESS_LOG_COLUMNS = (
 )
 
 
+def _kept(fits: Column, row: Column) -> Column:
+    """``row`` where it fits, by exploding it into itself.
+
+    A filter after a parsing projection is moved in front of it by Spark and
+    parses every line a second time; this way a line is parsed once.
+    """
+    return F.explode(F.when(fits, F.array(row)))
+
+
 def parse_access_log(df: DataFrame, col: str = "value") -> DataFrame:
     """Common log format to nine columns.
 
-    The pattern runs twice for a line, once to test it and once to take it
-    apart, and not once for each of the nine groups.  The date is put last:
-    it alone may hold white space, so a line feed is a safe separator.
+    The pattern runs once for a line: its groups become one text with line
+    feeds in between.  The date is put last: it alone may hold white space.
+    A line that does not match stays as it is, and one that does gets shorter.
     """
     apart = F.regexp_replace(col, ACCESS_LOG_PATTERN, "$1\n$2\n$3\n$5\n$6\n$7\n$8\n$9\n$4")
-    part = F.col("part")
+    part = F.col("_part")
     return (
-        df.filter(F.col(col).rlike(ACCESS_LOG_PATTERN))
-        .select(F.split(apart, "\n", 9).alias("part"))
+        df.select(F.col(col).alias("_line"), apart.alias("_apart"))
+        .select(_kept(F.col("_apart") != F.col("_line"), F.split("_apart", "\n", 9)).alias("_part"))
         .select(
             part[0].alias("ip_address"),
             part[1].alias("client_ident"),
@@ -58,11 +67,11 @@ def parse_access_log(df: DataFrame, col: str = "value") -> DataFrame:
 
 def parse_access_log_split(df: DataFrame, col: str = "value") -> DataFrame:
     """The same columns from a line of exactly ten words; the date has no zone."""
-    part = F.col("part")
+    words, part = F.col("_words"), F.col("_part")
     bare = lambda c, mark: F.replace(c, F.lit(mark), F.lit(""))
     return (
-        df.select(split_words(F.col(col)).alias("part"))
-        .filter(F.size("part") == 10)
+        df.select(split_words(F.col(col)).alias("_words"))
+        .select(_kept(F.size(words) == 10, words).alias("_part"))
         .select(
             part[0].alias("ip_address"),
             part[1].alias("client_ident"),
@@ -80,10 +89,10 @@ def parse_access_log_split(df: DataFrame, col: str = "value") -> DataFrame:
 
 def parse_orders_csv(df: DataFrame, col: str = "value", keep: Sequence[str] = ()) -> DataFrame:
     """``order,province,price`` and possibly more fields; ``keep`` names columns to carry along."""
-    part = F.col("part")
+    fields, part = F.col("_fields"), F.col("_part")
     return (
-        df.select(*keep, split_trimmed(F.trim(F.col(col)), ",").alias("part"))
-        .filter(F.size("part") >= 3)
+        df.select(*keep, split_trimmed(F.trim(F.col(col)), ",").alias("_fields"))
+        .select(*keep, _kept(F.size(fields) >= 3, fields).alias("_part"))
         .select(
             *keep,
             part[0].alias("order_id"),
@@ -94,10 +103,10 @@ def parse_orders_csv(df: DataFrame, col: str = "value", keep: Sequence[str] = ()
 
 
 def parse_orders_json(df: DataFrame, col: str = "value", keep: Sequence[str] = ()) -> DataFrame:
-    order = F.col("o")
+    read, order = F.col("_read"), F.col("_order")
     return (
-        df.select(*keep, F.from_json(col, schemas.ORDER_JSON).alias("o"))
-        .filter(order["orderId"].isNotNull())
+        df.select(*keep, F.from_json(col, schemas.ORDER_JSON).alias("_read"))
+        .select(*keep, _kept(read["orderId"].isNotNull(), read).alias("_order"))
         .select(
             *keep,
             order["orderId"].alias("order_id"),
@@ -112,12 +121,12 @@ def parse_ad_clicks(df: DataFrame, col: str = "value", exact: bool = True) -> Da
 
     ``exact`` wants five words, no more; otherwise words after the fifth are ignored.
     """
-    part = F.col("part")
-    words = F.filter(F.split(F.col(col), " "), lambda w: F.trim(w) != "")
-    size = F.size("part")
+    words, part = F.col("_words"), F.col("_part")
+    parts = F.transform(F.split(F.col(col), " "), lambda w: F.trim(w))
+    size = F.size(words)
     return (
-        df.select(F.transform(words, lambda w: F.trim(w)).alias("part"))
-        .filter(size == 5 if exact else size >= 5)
+        df.select(F.filter(parts, lambda w: w != "").alias("_words"))
+        .select(_kept(size == 5 if exact else size >= 5, words).alias("_part"))
         .select(
             part[0].cast("bigint").alias("ts_ms"),
             part[1].alias("province"),
@@ -141,26 +150,26 @@ def parse_event_log(df: DataFrame, col: str = "value", keep: Sequence[str] = ())
     part, halves, tidy, keys = (F.col(c) for c in ("_part", "_halves", "_tidy", "_keys"))
     # The head fields come first, so that a query field of the same name replaces them.
     heads = [F.concat(F.lit(f"{n}="), F.url_encode(part[i])) for i, n in enumerate(("ip", "s_time", "http_host"))]
+    # Empty parts at the end do not count.
+    four_parts = (F.get(part, F.lit(3)) != "") & (F.array_join(F.slice(part, 5, F.size(part)), "") == "")
     repeated = F.size(keys) != F.size(F.array_distinct(keys))
     # Without the parts whose key comes again later.
     last = F.regexp_replace(tidy, r"(?<![^&])([^=&]*)(?:=[^&]*)?&(?=(?:[^&]*&)*\1(?:[=&]|$))", "")
     value = lambda k, v: F.when(v != "", F.try_url_decode(F.substring_index(v, "=", 1)))
     pairs = F.transform_values(F.str_to_map("_pairs", F.lit("&"), F.lit("=")), value)
     return (
-        df.select(*keep, split_trimmed(F.col(col), EVENT_LOG_SEPARATOR).alias("_part"))
+        df.select(*keep, F.split(F.col(col), EVENT_LOG_SEPARATOR).alias("_part"))
         .select(
             *keep,
-            (F.size(part) == 4).alias("_fits"),
+            four_parts.alias("_fits"),
             F.when(F.size(part) >= 3, F.concat_ws("&", *heads)).alias("_heads"),
-            split_trimmed(F.get(part, F.lit(3)), r"\?").alias("_halves"),
+            split_trimmed(F.get(part, F.lit(3)), "?").alias("_halves"),
         )
         .select(*keep, "_fits", F.concat_ws("&", "_heads", F.when(F.size(halves) == 2, halves[1])).alias("_joined"))
         .select(*keep, "_fits", F.regexp_replace(F.btrim("_joined", F.lit("&")), "&&+", "&").alias("_tidy"))
         .select(*keep, "_fits", "_tidy", F.split(F.regexp_replace(tidy, "=[^&]*", ""), "&").alias("_keys"))
         .select(*keep, "_fits", F.when(repeated, last).otherwise(tidy).alias("_pairs"))
-        # Exploding a row into itself leaves out the lines that do not fit, and
-        # keeps conditions on the fields from being moved in front of the parsing.
-        .select(*keep, F.explode(F.when(F.col("_fits"), F.array(pairs))).alias("fields"))
+        .select(*keep, _kept(F.col("_fits"), pairs).alias("fields"))
     )
 
 
@@ -178,7 +187,7 @@ def tokenize_lowercase(df: DataFrame, col: str, out: str = "words") -> DataFrame
     space becomes single blanks before the marks go.
     """
     text = F.col(col)
-    single = F.regexp_replace(without_end(text, r"\s"), r"\s+", " ")
+    single = F.regexp_replace(F.rtrim(text, F.lit(WHITE_SPACE)), r"\s+", " ")
     words = F.split(F.translate(F.lower(single), ",.", ""), " ")
     no_words = F.array().cast("array<string>")
     return df.withColumn(out, F.when(text.rlike(r"\S") | (text == ""), words).otherwise(no_words))
