@@ -86,20 +86,22 @@ def enrich_region(df: DataFrame, ip: str, ranges: DataFrame) -> DataFrame:
     """
     width = 1 << (32 - BLOCK_BITS)
     block = lambda c: F.floor(c / width).cast("bigint")
-    listed = ranges.select(
-        F.col("lo").alias("_lo"),
-        F.col("hi").alias("_hi"),
-        F.col("area").alias("_area"),
-        F.explode(F.sequence(block(F.col("lo")), block(F.col("hi")))).alias("_block"),
-    )
+    # The texts are taken apart on the side of the ranges, which are few.
+    named = ranges.select("lo", "hi", *[c.alias(f"_{n}") for n, c in region_columns(F.col("area")).items()])
+    listed = named.withColumn("_block", F.explode(F.sequence(block(F.col("lo")), block(F.col("hi")))))
+    listed = listed.withColumnsRenamed({"lo": "_lo", "hi": "_hi"})
     keyed = df.withColumn("_n", ip_to_long(F.col(ip)))
     inside = (
         (block(F.col("_n")) == F.col("_block"))
         & (F.col("_lo") <= F.col("_n"))
         & (F.col("_n") <= F.col("_hi"))
     )
-    joined = keyed.join(listed, inside, "left")
-    return joined.withColumns(region_columns(F.col("_area"))).drop("_n", "_lo", "_hi", "_area", "_block")
+    defaults = {"country": HOME_COUNTRY, "province": DEFAULT_PROVINCE, "city": UNKNOWN}
+    return (
+        keyed.join(listed, inside, "left")
+        .withColumns({n: F.coalesce(f"_{n}", F.lit(default)) for n, default in defaults.items()})
+        .drop("_n", "_lo", "_hi", "_block", *[f"_{n}" for n in defaults])
+    )
 
 
 # Fixed values: (name, pattern with the version as its group), tried in this order.

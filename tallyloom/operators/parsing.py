@@ -137,6 +137,13 @@ def parse_ad_clicks(df: DataFrame, col: str = "value", exact: bool = True) -> Da
     )
 
 
+def _decoded(value: Column) -> Column:
+    """The value of ``k=value``, or null if there is none; most values need no decoding."""
+    bare = F.substring_index(value, "=", 1)
+    coded = value.contains("%") | value.contains("+")
+    return F.when(value != "", F.when(coded, F.try_url_decode(bare)).otherwise(bare))
+
+
 def parse_event_log(df: DataFrame, col: str = "value", keep: Sequence[str] = ()) -> DataFrame:
     """``ip^Aseconds^Ahost^A/path?k=v&…`` to a map column ``fields``.
 
@@ -155,8 +162,7 @@ def parse_event_log(df: DataFrame, col: str = "value", keep: Sequence[str] = ())
     repeated = F.size(keys) != F.size(F.array_distinct(keys))
     # Without the parts whose key comes again later.
     last = F.regexp_replace(tidy, r"(?<![^&])([^=&]*)(?:=[^&]*)?&(?=(?:[^&]*&)*\1(?:[=&]|$))", "")
-    value = lambda k, v: F.when(v != "", F.try_url_decode(F.substring_index(v, "=", 1)))
-    pairs = F.transform_values(F.str_to_map("_pairs", F.lit("&"), F.lit("=")), value)
+    pairs = F.transform_values(F.str_to_map("_pairs", F.lit("&"), F.lit("=")), lambda k, v: _decoded(v))
     return (
         df.select(*keep, F.split(F.col(col), EVENT_LOG_SEPARATOR).alias("_part"))
         .select(
