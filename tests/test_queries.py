@@ -58,3 +58,13 @@ def test_oracles_belong_to_queries():
 
 def test_flagship(spark):
     assert entry.entry(spark).count() == 50
+
+
+@pytest.mark.parametrize(
+    "name",
+    ["area_top10_products", "area_top10_visits", "enrich_region", "dynamic_blacklist", "filter_blacklisted_stream", "event_log_etl"],
+)
+def test_plans_have_no_cross_join_and_no_python(spark, plan, name):
+    text = plan(QUERIES[name](spark, SF))
+    for step in ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "SinglePartition"):
+        assert step not in text
