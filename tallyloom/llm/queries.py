@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import bpe, cuckoo
+from tallyloom.llm import bpe, cuckoo, licences, packing, toxicity
 from tallyloom.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
 
 DEDUP_SQL = r"""
@@ -30,3 +30,20 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_bpe")
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"))
+
+
+@query("op2_packing")
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(packing.token_pieces(table(spark, sf_dir, "documents")))
+
+
+@query("op7_toxicity")
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    lexicon = toxicity.learn(toxicity.training_rows(docs, table(spark, sf_dir, "labels")))
+    return toxicity.score_documents(docs, lexicon).select("doc_id", toxicity.held_out().alias("held_out"), "score", "predicted")
+
+
+@query("op10_licences", licences.SQL)
+def op10_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan(table(spark, sf_dir, "documents"))
