@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import bpe, chat, cuckoo, licences, packing, toxicity, warc
+from tallyloom.llm import bpe, chat, cuckoo, licences, packing, suffixes, toxicity, warc
 from tallyloom.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
 from tallyloom.shared_folder import staged
 
@@ -63,3 +63,8 @@ def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = turns.unionByName(extra).select("conv_id", F.to_json(F.struct("conv_id", "turn", "role", "text"), {"ignoreNullFields": "false"}).alias("record"))
     parts = staged(chat.format_turns(chat.canonical_turns(rows)), "formatted")
     return chat.read_formatted(parts)
+
+
+@query("op6_suffix_dedup")
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.repeated_spans(table(spark, sf_dir, "documents")).drop("spans")
