@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import bpe, chat, cuckoo, licences, ordered_minhash, packing, suffixes, toxicity, warc
+from tallyloom.llm import bpe, chat, cuckoo, learned_ann, licences, ordered_minhash, packing, suffixes, toxicity, warc
 from tallyloom.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
 from tallyloom.shared_folder import staged
 
@@ -73,3 +73,8 @@ def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op1_ordered_minhash")
 def op1_ordered_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ordered_minhash.near_duplicates(table(spark, sf_dir, "documents")).drop("row_id")
+
+
+@query("op3_learned_ann")
+def op3_learned_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return learned_ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
