@@ -149,12 +149,12 @@ v AS (
   UNION ALL
   SELECT r, true, regexp_split_to_array(regexp_replace(regexp_replace(text, '[ \t\n\f\r]+', ' ', 'g'), '([.!?;:])[ \t]+', '\1' || chr(10), 'g'), '[\r\n]+') FROM d),
 s AS (
-  SELECT r, across, unnest(parts) AS part, generate_subscripts(parts, 1) AS at FROM v),
+  SELECT r, across, unnest(parts) AS part, generate_subscripts(parts, 1) AS place FROM v),
 n AS (
-  SELECT r, across, at, regexp_replace(trim(regexp_replace(lower(part), '[^a-z0-9]+', ' ', 'g')), '^copyright [a-z0-9 ]+$', 'copyright notice') AS words FROM s),
+  SELECT r, across, place, regexp_replace(trim(regexp_replace(lower(part), '[^a-z0-9]+', ' ', 'g')), '^copyright [a-z0-9 ]+$', 'copyright notice') AS words FROM s),
 q AS (
-  SELECT r, coalesce(string_agg(sid, '|' ORDER BY at) FILTER (NOT across), '') AS line_sentences,
-         coalesce(string_agg(sid, '|' ORDER BY at) FILTER (across), '') AS text_sentences
+  SELECT r, coalesce(string_agg(sid, '|' ORDER BY place) FILTER (NOT across), '') AS line_sentences,
+         coalesce(string_agg(sid, '|' ORDER BY place) FILTER (across), '') AS text_sentences
   FROM n JOIN known USING (words) GROUP BY r),
 m AS (
   SELECT r, string_agg(DISTINCT licence, ',' ORDER BY licence) AS licences
