@@ -17,7 +17,7 @@ from tallyloom.plans.recommend import train_and_score
 from tallyloom.shared_folder import new_path
 
 _LANGUAGES = {"de": 0.0, "en": 1.0, "es": 2.0, "fr": 3.0}
-_ROUNDS = 3
+_ROUNDS = 10
 
 
 def _train(spark, sf_dir):

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType
 
 from tallyloom.functions.text import UNKNOWN, is_blank
 
@@ -26,11 +27,12 @@ BLOCK_BITS = 16
 
 
 def ip_to_long(ip: Column) -> Column:
-    """Dotted IPv4 text to a number; null for other text."""
+    """Dotted IPv4 text to a number; null for other text, also for parts that are not 0 to 255."""
     part = F.split(ip, r"\.")
     number = F.lit(0).cast("bigint")
     for i in range(4):
-        number = number * 256 + F.get(part, F.lit(i)).try_cast("bigint")
+        octet = F.get(part, F.lit(i)).try_cast("bigint")
+        number = number * 256 + F.when(octet.between(0, 255), octet)
     return F.when(F.size(part) == 4, number)
 
 
@@ -82,7 +84,9 @@ def enrich_region(df: DataFrame, ip: str, ranges: DataFrame) -> DataFrame:
     ``area``.  A range is listed once for each block of addresses it touches,
     at most 65,536 of them, and an address looks only at its own block: an
     equi join with a range condition.  An address finds one range at most, so
-    no row is repeated, and one without a range gets the defaults.
+    no row is repeated, and one without a range gets the defaults.  A blank
+    address has no region.  Addresses that cannot be read find no block, and
+    are dealt by the row instead of meeting in one task.
     """
     width = 1 << (32 - BLOCK_BITS)
     block = lambda c: F.floor(c / width).cast("bigint")
@@ -90,17 +94,19 @@ def enrich_region(df: DataFrame, ip: str, ranges: DataFrame) -> DataFrame:
     named = ranges.select("lo", "hi", *[c.alias(f"_{n}") for n, c in region_columns(F.col("area")).items()])
     listed = named.withColumn("_block", F.explode(F.sequence(block(F.col("lo")), block(F.col("hi")))))
     listed = listed.withColumnsRenamed({"lo": "_lo", "hi": "_hi"})
-    keyed = df.withColumn("_n", ip_to_long(F.col(ip)))
+    plain = [f.name for f in df.schema.fields if not isinstance(f.dataType, MapType)]
+    nowhere = -1 - F.pmod(F.xxhash64(*plain), F.lit(4096))
+    keyed = df.withColumn("_n", ip_to_long(F.col(ip))).withColumn("_at", F.coalesce(block(F.col("_n")), nowhere))
     inside = (
-        (block(F.col("_n")) == F.col("_block"))
+        (F.col("_at") == F.col("_block"))
         & (F.col("_lo") <= F.col("_n"))
         & (F.col("_n") <= F.col("_hi"))
     )
     defaults = {"country": HOME_COUNTRY, "province": DEFAULT_PROVINCE, "city": UNKNOWN}
     return (
         keyed.join(listed, inside, "left")
-        .withColumns({n: F.coalesce(f"_{n}", F.lit(default)) for n, default in defaults.items()})
-        .drop("_n", "_lo", "_hi", "_block", *[f"_{n}" for n in defaults])
+        .withColumns({n: F.when(~is_blank(F.col(ip)), F.coalesce(f"_{n}", F.lit(default))) for n, default in defaults.items()})
+        .drop("_n", "_at", "_lo", "_hi", "_block", *[f"_{n}" for n in defaults])
     )
 
 

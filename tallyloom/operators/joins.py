@@ -53,12 +53,12 @@ def blacklist_broadcast_filter(
 ) -> DataFrame:
     """The same with the list sent to every executor, if it is short enough.
 
-    The list is counted first, up to the bound and no further; a longer one
+    The list is counted first, with one number from each task; a longer one
     goes through the ordinary anti join.  ``black`` should be a stored list,
     because it is read for the count and for the join.
     """
     listed = black.select(key)
-    short = listed.limit(max_rows + 1).count() <= max_rows
+    short = listed.count() <= max_rows
     return df.join(F.broadcast(listed) if short else listed, key, "left_anti")
 
 

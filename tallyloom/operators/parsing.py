@@ -120,13 +120,17 @@ def parse_ad_clicks(df: DataFrame, col: str = "value", exact: bool = True) -> Da
     """``millis province city user ad``, separated by blanks.
 
     ``exact`` wants five words, no more; otherwise words after the fifth are ignored.
+    Rows whose time, user or ad is no number are left out.
     """
     words, part = F.col("_words"), F.col("_part")
     parts = F.transform(F.split(F.col(col), " "), lambda w: F.trim(w))
     size = F.size(words)
+    numbers = F.lit(True)
+    for i in (0, 3, 4):
+        numbers &= F.get(words, F.lit(i)).try_cast("bigint").isNotNull()
     return (
         df.select(F.filter(parts, lambda w: w != "").alias("_words"))
-        .select(_kept(size == 5 if exact else size >= 5, words).alias("_part"))
+        .select(_kept((size == 5 if exact else size >= 5) & numbers, words).alias("_part"))
         .select(
             part[0].cast("bigint").alias("ts_ms"),
             part[1].alias("province"),
@@ -154,14 +158,16 @@ def parse_event_log(df: DataFrame, col: str = "value", keep: Sequence[str] = ())
     Every step is a projection of its own, so what it makes is made once,
     however often the next one uses it.
     """
-    part, halves, tidy, keys = (F.col(c) for c in ("_part", "_halves", "_tidy", "_keys"))
+    part, halves, tidy, keys, ranked = (F.col(c) for c in ("_part", "_halves", "_tidy", "_keys", "_ranked"))
     # The head fields come first, so that a query field of the same name replaces them.
     heads = [F.concat(F.lit(f"{n}="), F.url_encode(part[i])) for i, n in enumerate(("ip", "s_time", "http_host"))]
     # Empty parts at the end do not count.
     four_parts = (F.get(part, F.lit(3)) != "") & (F.array_join(F.slice(part, 5, F.size(part)), "") == "")
     repeated = F.size(keys) != F.size(F.array_distinct(keys))
-    # Without the parts whose key comes again later.
-    last = F.regexp_replace(tidy, r"(?<![^&])([^=&]*)(?:=[^&]*)?&(?=(?:[^&]*&)*\1(?:[=&]|$))", "")
+    # Of equal keys, which lie side by side once sorted, the one that came last in the line.
+    entry = lambda e, i: F.struct(F.substring_index(e, "=", 1).alias("k"), (-i).alias("i"), e.alias("e"))
+    first_of_key = lambda x, i: (i == 0) | (F.get(ranked, i - 1)["k"] != x["k"])
+    last = F.array_join(F.transform(F.filter(ranked, first_of_key), lambda x: x["e"]), "&")
     pairs = F.transform_values(F.str_to_map("_pairs", F.lit("&"), F.lit("=")), lambda k, v: _decoded(v))
     return (
         df.select(*keep, F.split(F.col(col), EVENT_LOG_SEPARATOR).alias("_part"))
@@ -174,7 +180,8 @@ def parse_event_log(df: DataFrame, col: str = "value", keep: Sequence[str] = ())
         .select(*keep, "_fits", F.concat_ws("&", "_heads", F.when(F.size(halves) == 2, halves[1])).alias("_joined"))
         .select(*keep, "_fits", F.regexp_replace(F.btrim("_joined", F.lit("&")), "&&+", "&").alias("_tidy"))
         .select(*keep, "_fits", "_tidy", F.split(F.regexp_replace(tidy, "=[^&]*", ""), "&").alias("_keys"))
-        .select(*keep, "_fits", F.when(repeated, last).otherwise(tidy).alias("_pairs"))
+        .select(*keep, "_fits", "_tidy", F.when(repeated, F.array_sort(F.transform(F.split(tidy, "&"), entry))).alias("_ranked"))
+        .select(*keep, "_fits", F.when(ranked.isNotNull(), last).otherwise(tidy).alias("_pairs"))
         .select(*keep, _kept(F.col("_fits"), pairs).alias("fields"))
     )
 

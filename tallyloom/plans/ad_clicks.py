@@ -14,7 +14,7 @@ from tallyloom.streaming.blacklist import (
 )
 from tallyloom.streaming.runner import resume_from_checkpoint
 from tallyloom.streaming.state import STATE_KEYS, click_dimensions
-from tallyloom.streaming.windows import window_counts
+from tallyloom.streaming.windows import LATENESS, window_counts
 
 BLACKLIST_WINDOW = ("60 seconds", "18 seconds")
 
@@ -27,9 +27,10 @@ def start_blacklist(
     threshold: int = 100,
     window: tuple[str, str] = BLACKLIST_WINDOW,
     every: str | None = None,
+    lateness: str = LATENESS,
 ) -> StreamingQuery:
     """The query that puts users with too many clicks in a window on the list."""
-    counts = window_counts(clicks, "ts", ["user_id"], *window)
+    counts = window_counts(clicks, "ts", ["user_id"], *window, lateness)
     sink = blacklist_sink(f"{root}/blacklist", white, threshold=threshold)
     return resume_from_checkpoint(counts, sink, f"{checkpoint}/blacklist", every=every)
 

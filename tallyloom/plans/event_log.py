@@ -21,12 +21,14 @@ _DERIVED = ["country", "province", "city", "browser", "browser_v", "os", "os_v"]
 
 def clean_events(lines: DataFrame, ranges: DataFrame | None = None, col: str = "value") -> DataFrame:
     """Known events with their row key and one map of all fields, derived ones included."""
-    events = parse_event_log(lines, col).withColumn("en", F.col("fields")["en"])
+    # The address of the line itself; a query field may have the same name.
+    lines = lines.withColumn("_ip", F.substring_index(col, "^A", 1))
+    events = parse_event_log(lines, col, keep=["_ip"]).withColumn("en", F.col("fields")["en"])
     events = filter_event_types(events)
     events = enrich_user_agent(events.withColumn("_ua", F.col("fields")["b_iev"]), "_ua")
     derived = _DERIVED[3:]
     if ranges is not None:
-        events = enrich_region(events.withColumn("_ip", F.col("fields")["ip"]), "_ip", ranges)
+        events = enrich_region(events, "_ip", ranges)
         derived = _DERIVED
     plain = F.map_filter("fields", lambda k, v: ~k.isin(derived))
     added = F.map_from_arrays(

@@ -6,6 +6,7 @@ from collections.abc import Mapping
 
 from pyspark.ml.feature import IDF
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tallyloom.operators.ml import NEWS_LABELS, label_index, naive_bayes_classify, term_frequencies
 from tallyloom.operators.parsing import tokenize_lowercase
@@ -26,8 +27,8 @@ def classify_news(
     The term frequencies are staged: weights, model and predictions each read
     them, and the texts are taken apart once.
     """
-    labelled = label_index(tokenize_lowercase(news, title), category, labels)
-    counted = staged(term_frequencies(labelled, dims=dims).select("label", "tf"), "terms")
+    labelled = label_index(tokenize_lowercase(news, title), category, labels).withColumn("_key", F.xxhash64(title))
+    counted = staged(term_frequencies(labelled, dims=dims).select("label", "_key", "tf"), "terms")
     featured = IDF(inputCol="tf", outputCol="features").fit(counted).transform(counted)
-    train, test = train_test_split(featured.select("label", "features"), seed=seed)
+    train, test = train_test_split(featured.select("label", "_key", "features"), seed=seed, by=["_key"])
     return naive_bayes_classify(train, test).select("label", "prediction")

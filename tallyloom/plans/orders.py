@@ -9,7 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tallyloom.sinks.stores import hash_sink, read_upserted, upsert_sink
 from tallyloom.streaming.runner import resume_from_checkpoint
 from tallyloom.streaming.state import order_total_by_province
-from tallyloom.streaming.windows import top_of_windows, window_order_count
+from tallyloom.streaming.windows import LATENESS, top_of_windows, window_order_count
 
 WINDOW_KEYS = ["window_start", "window_end", "province_id"]
 
@@ -28,9 +28,10 @@ def start_window_counts(
     size: str = "20 seconds",
     slide: str = "8 seconds",
     every: str | None = None,
+    lateness: str = LATENESS,
 ) -> StreamingQuery:
     """Orders of each province in each window, kept as latest value by window and province."""
-    counts = window_order_count(orders, "ts", size, slide)
+    counts = window_order_count(orders, "ts", size, slide, lateness=lateness)
     return resume_from_checkpoint(counts, upsert_sink(path, WINDOW_KEYS), checkpoint, every=every)
 
 

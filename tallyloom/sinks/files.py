@@ -30,7 +30,7 @@ def document_sink(df: DataFrame, uri: str, collection: str, fmt: str = "json") -
 
 def _jdbc(df: DataFrame, url: str, table: str, props: dict[str, str] | None, mode: str, batch: int, max_writers: int):
     options = {"batchsize": str(batch), "numPartitions": str(max_writers), **(props or {})}
-    df.write.mode(mode).jdbc(url, table, properties=options)
+    _bounded(df, max_writers).write.mode(mode).jdbc(url, table, properties=options)
 
 
 def write_jdbc_append(

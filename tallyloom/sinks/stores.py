@@ -14,19 +14,30 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 BATCH = "batch_id"
+#: A batch's number is its id within its generation; a new checkpoint, whose ids start at 0 again, needs a new generation.
+GENERATION = 1 << 40
+#: The number of folded rows: below every batch of every generation, so no batch can write over them.
+FOLDED = -1
+
+
+def batch_path(path: str, batch_id: int, generation: int = 0) -> str:
+    """The folder of a batch; batches of a later generation come after all of an earlier one."""
+    return f"{path}/{BATCH}={generation * GENERATION + batch_id}"
+
+
 BatchSink = Callable[[DataFrame, int], None]
 
 
-def append_sink(path: str) -> BatchSink:
+def append_sink(path: str, generation: int = 0) -> BatchSink:
     """Keep every row; batch n is the folder ``batch_id=n``."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}")
+        batch.write.mode("overwrite").parquet(batch_path(path, batch_id, generation))
 
     return write
 
 
-def upsert_sink(path: str, keys: list[str]) -> BatchSink:
+def upsert_sink(path: str, keys: list[str], generation: int = 0) -> BatchSink:
     """Insert or update by key.
 
     A batch writes only the rows it changed, never the whole store; the
@@ -38,17 +49,23 @@ def upsert_sink(path: str, keys: list[str]) -> BatchSink:
         missing = [k for k in keys if k not in batch.columns]
         if missing:
             raise ValueError(f"key columns not in the batch: {missing}")
-        batch.write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}")
+        batch.write.mode("overwrite").parquet(batch_path(path, batch_id, generation))
 
     return write
 
 
 def read_upserted(spark: SparkSession, path: str, keys: list[str], schema: str | None = None) -> DataFrame:
-    """The current row of every key.  Partial maxima go through the shuffle, not all versions."""
-    reader = spark.read
-    if schema:
-        reader = reader.schema(f"{schema}, {BATCH} BIGINT")
-    stored = reader.parquet(path)
+    """The current row of every key.  Partial maxima go through the shuffle, not all versions.
+
+    With a ``schema``, a store without a batch yet is an empty table.
+    """
+    reader = spark.read.schema(f"{schema}, {BATCH} BIGINT") if schema else spark.read
+    try:
+        stored = reader.parquet(path)
+    except AnalysisException as error:
+        if schema is None or error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
     values = [c for c in stored.columns if c not in (*keys, BATCH)]
     if not values:
         return stored.select(*keys).distinct()
@@ -57,20 +74,20 @@ def read_upserted(spark: SparkSession, path: str, keys: list[str], schema: str |
 
 
 def fold_upserts(spark: SparkSession, path: str, keys: list[str], target: str) -> None:
-    """Write the current rows as batch 0 of a new store, once a store has grown many versions."""
-    read_upserted(spark, path, keys).write.mode("overwrite").parquet(f"{target}/{BATCH}=0")
+    """Write the current rows to a new store, once a store has grown many versions; its batches come after them."""
+    read_upserted(spark, path, keys).write.mode("overwrite").parquet(f"{target}/{BATCH}={FOLDED}")
 
 
-def hash_sink(path: str, key: str) -> BatchSink:
+def hash_sink(path: str, key: str, generation: int = 0) -> BatchSink:
     """Latest value of each key."""
-    return upsert_sink(path, [key])
+    return upsert_sink(path, [key], generation)
 
 
-def set_sink(path: str, key: str) -> BatchSink:
+def set_sink(path: str, key: str, generation: int = 0) -> BatchSink:
     """Members of a set; a member never leaves."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.select(key).distinct().write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}")
+        batch.select(key).distinct().write.mode("overwrite").parquet(batch_path(path, batch_id, generation))
 
     return write
 

@@ -9,13 +9,14 @@ from tallyloom.functions.text import split_words
 
 
 def read_text_pairs(spark: SparkSession, path: str) -> DataFrame:
-    """Lines of ``key value``, split at white space."""
+    """Lines of ``key value``, split at white space; lines without a number there are left out."""
     parts = split_words(F.col("value"))
     return (
         spark.read.text(path)
         .select(parts.alias("p"))
         .filter(F.size("p") >= 2)
-        .select(F.col("p")[0].alias("key"), F.col("p")[1].cast("int").alias("value"))
+        .select(F.col("p")[0].alias("key"), F.col("p")[1].try_cast("int").alias("value"))
+        .filter("value IS NOT NULL")
     )
 
 

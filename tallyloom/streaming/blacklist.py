@@ -8,14 +8,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.operators.joins import blacklist_broadcast_filter, whitelist_exclusion
-from tallyloom.sinks.stores import BATCH, read_set, set_sink
+from tallyloom.sinks.stores import batch_path, read_set, set_sink
 
 
 def blacklist_sink(
-    path: str, white: DataFrame, user: str = "user_id", threshold: int = 100, inclusive: bool = False
+    path: str,
+    white: DataFrame,
+    user: str = "user_id",
+    threshold: int = 100,
+    inclusive: bool = False,
+    generation: int = 0,
 ) -> Callable[[DataFrame, int], None]:
     """For a stream of window counts: users above the threshold join the list for good."""
-    add = set_sink(path, user)
+    add = set_sink(path, user, generation)
 
     def write(counts: DataFrame, batch_id: int) -> None:
         cnt = F.col("cnt")
@@ -49,12 +54,14 @@ def filtered_batches(
     return write
 
 
-def count_sink(path: str, keys: list[str], count: str = "click_count") -> Callable[[DataFrame, int], None]:
+def count_sink(
+    path: str, keys: list[str], count: str = "click_count", generation: int = 0
+) -> Callable[[DataFrame, int], None]:
     """Counts of each batch by key, in the folder of its id; the totals are their sum."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
         counted = batch.groupBy(*keys).agg(F.count(F.lit(1)).alias(count))
-        counted.write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}")
+        counted.write.mode("overwrite").parquet(batch_path(path, batch_id, generation))
 
     return write
 

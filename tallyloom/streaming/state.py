@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.operators.aggregates import exact, word_count
-from tallyloom.streaming.windows import seconds
+from tallyloom.streaming.windows import milliseconds, seconds
 
 DAY_PATTERN = "yyyyMMdd"
 STATE_KEYS = ("date", "province", "city", "ad_id")
@@ -109,21 +109,23 @@ def ad_click_state_expiring_updates(
     A streaming DataFrame is needed; ``ts`` is a timestamp.  Each Arrow batch
     is reduced to one row for each key before the shuffle, so the state
     function of a hot key gets a few partial counts and not all its clicks.
-    A key is dropped when the watermark passes its last click plus ``idle``.
+    A key is dropped when the watermark passes its last click plus ``idle``;
+    clicks that come after a longer gap start anew even if the watermark has
+    not got there.  A gap between clicks of one Arrow batch is not seen.
     """
     from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-    idle_ms = seconds(idle) * 1000
+    idle_ms = milliseconds(idle)
     keys = list(STATE_KEYS)
     day = F.date_format(ts, DAY_PATTERN).alias("date")
-    clicks = df.select(day, "province", "city", "ad_id", F.col(ts).alias("last_ts"))
+    clicks = df.select(day, "province", "city", "ad_id", F.col(ts).alias("last_ts"), F.unix_millis(F.col(ts).cast("timestamp")).alias("last_ms"))
     ad_type = clicks.schema["ad_id"].dataType.simpleString()
     key_schema = f"date string, province string, city string, ad_id {ad_type}"
 
     def reduce(batches):
         for rows in batches:
-            groups = rows.groupby(keys, sort=False, dropna=False)["last_ts"]
-            yield groups.agg(n="count", last_ts="max").reset_index()
+            groups = rows.groupby(keys, sort=False, dropna=False)
+            yield groups.agg(n=("last_ms", "size"), last_ts=("last_ts", "max"), first_ms=("last_ms", "min"), last_ms=("last_ms", "max")).reset_index()
 
     def advance(key, batches, state: GroupState):
         import pandas as pd
@@ -133,14 +135,16 @@ def ad_click_state_expiring_updates(
             return
         count, last = state.get if state.exists else (0, 0)
         for rows in batches:
-            count += int(rows["n"].sum())
-            last = max(last, int(rows["last_ts"].max().timestamp() * 1000))
+            rows = rows.sort_values("first_ms")
+            for n, first, newest in zip(rows["n"], rows["first_ms"], rows["last_ms"], strict=True):  # pandas times are local ones
+                count = int(n) + (count if int(first) <= last + idle_ms else 0)
+                last = max(last, int(newest))
         state.update((count, last))
         state.setTimeoutTimestamp(max(last + idle_ms, state.getCurrentWatermarkMs() + 1))
         yield pd.DataFrame([(*key, count)], columns=[*keys, "click_count"])
 
     return (
-        clicks.mapInPandas(reduce, f"{key_schema}, n bigint, last_ts timestamp")
+        clicks.mapInPandas(reduce, f"{key_schema}, n bigint, last_ts timestamp, first_ms bigint, last_ms bigint")
         .withWatermark("last_ts", lateness)
         .groupBy(*keys)
         .applyInPandasWithState(

@@ -1,13 +1,15 @@
 """Sliding windows over event time.
 
 Each function takes a static or a streaming DataFrame.  A streaming one gets
-a watermark, so that Spark can drop the state of windows that are over.
+a watermark, so that Spark can drop the state of windows that are over: rows
+that come later than ``lateness`` behind the newest one are not counted.
 Window starts are multiples of the slide, counted from the epoch.
 """
 
 from __future__ import annotations
 
 import math
+import re
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,13 +20,29 @@ from tallyloom.operators.topn import first_n
 
 LATENESS = "10 minutes"
 BOUND_PATTERN = "yyyy/MM/dd HH:mm:ss"
-_UNITS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400}
+# Interval units in milliseconds.
+_UNITS = {"millisecond": 1, "second": 1000, "minute": 60_000, "hour": 3_600_000, "day": 86_400_000, "week": 604_800_000}
+_PART = re.compile(r"\s*(\d+)\s*([a-z]+?)s?(?=[\s\d]|$)")
 
 
-def seconds(duration: str) -> int:
-    """``20 seconds``, ``2 minutes``, ``1 day`` … as a number."""
-    number, unit = duration.split()
-    return int(number) * _UNITS[unit.rstrip("s")]
+def milliseconds(duration: str) -> int:
+    """``20 seconds``, ``1 week``, ``INTERVAL 1 minute 30 seconds`` … as a number."""
+    text = duration.strip().lower().removeprefix("interval").replace("'", " ")
+    parts, end = [], 0
+    for found in _PART.finditer(text):
+        if found.start() != end or found[2] not in _UNITS:
+            break
+        parts.append(int(found[1]) * _UNITS[found[2]])
+        end = found.end()
+    if not parts or text[end:].strip():
+        raise ValueError(f"not an interval of weeks to milliseconds: {duration!r}")
+    return sum(parts)
+
+
+def seconds(duration: str) -> float:
+    """An interval in seconds; a whole number if it is one."""
+    whole, rest = divmod(milliseconds(duration), 1000)
+    return whole + rest / 1000 if rest else whole
 
 
 def watermarked(df: DataFrame, ts: str, lateness: str = LATENESS) -> DataFrame:
@@ -56,7 +74,7 @@ def window_counts(
     if not by_pane or df.isStreaming:
         counted = source.groupBy(F.window(ts, size, slide), *keys).agg(F.count(F.lit(1)).alias("cnt"))
         return _flat(counted, *keys, "cnt")
-    pane = f"{math.gcd(seconds(size), seconds(slide))} seconds"
+    pane = f"{math.gcd(milliseconds(size), milliseconds(slide))} milliseconds"
     panes = (
         source.groupBy(F.window(ts, pane).alias("pane"), *keys)
         .agg(F.count(F.lit(1)).alias("_n"))
@@ -67,21 +85,31 @@ def window_counts(
 
 
 def window_word_count(
-    df: DataFrame, ts: str = "ts", size: str = "9 seconds", slide: str = "6 seconds", col: str = "value"
+    df: DataFrame,
+    ts: str = "ts",
+    size: str = "9 seconds",
+    slide: str = "6 seconds",
+    col: str = "value",
+    lateness: str = LATENESS,
 ) -> DataFrame:
     """Words for each sliding window."""
-    return window_counts(words(df, col, drop_blank=True, keep=[ts]), ts, ["word"], size, slide)
+    return window_counts(words(df, col, drop_blank=True, keep=[ts]), ts, ["word"], size, slide, lateness)
 
 
 def window_word_count_incremental(
-    df: DataFrame, ts: str = "ts", size: str = "9 seconds", slide: str = "6 seconds", col: str = "value"
+    df: DataFrame,
+    ts: str = "ts",
+    size: str = "9 seconds",
+    slide: str = "6 seconds",
+    col: str = "value",
+    lateness: str = LATENESS,
 ) -> DataFrame:
     """The same result; Spark keeps one count for each open window and adds to it.
 
     Nothing is taken back when a window moves on, and a word that has left
     the window has no row with 0.
     """
-    return window_word_count(df, ts, size, slide, col)
+    return window_word_count(df, ts, size, slide, col, lateness)
 
 
 def window_order_count(
@@ -90,9 +118,10 @@ def window_order_count(
     size: str = "20 seconds",
     slide: str = "10 seconds",
     province: str = "province_id",
+    lateness: str = LATENESS,
 ) -> DataFrame:
     """Orders of each province for each sliding window."""
-    return window_counts(df, ts, [province], size, slide, by_pane=True)
+    return window_counts(df, ts, [province], size, slide, lateness, by_pane=True)
 
 
 def top_of_windows(counts: DataFrame, key: str, n: int) -> DataFrame:
@@ -108,9 +137,10 @@ def window_top5_provinces(
     slide: str = "8 seconds",
     n: int = 5,
     province: str = "province_id",
+    lateness: str = LATENESS,
 ) -> DataFrame:
     """The provinces with most orders in each window."""
-    return top_of_windows(window_order_count(df, ts, size, slide, province), province, n)
+    return top_of_windows(window_order_count(df, ts, size, slide, province, lateness), province, n)
 
 
 def dynamic_blacklist(
@@ -122,13 +152,14 @@ def dynamic_blacklist(
     ts: str = "ts",
     user: str = "user_id",
     inclusive: bool = False,
+    lateness: str = LATENESS,
 ) -> DataFrame:
     """Users with more than ``threshold`` clicks in some window, without the white list.
 
     ``inclusive`` takes the threshold itself too.  On a stream the result
     holds a user once for each window; the set sink keeps one.
     """
-    counts = window_counts(df, ts, [user], size, slide)
+    counts = window_counts(df, ts, [user], size, slide, lateness)
     cnt = F.col("cnt")
     hot = counts.filter(cnt >= threshold if inclusive else cnt > threshold).select(user)
     hot = hot if df.isStreaming else hot.distinct()
@@ -142,9 +173,10 @@ def ad_click_window(
     ts: str = "ts",
     ad: str = "ad_id",
     pattern: str = BOUND_PATTERN,
+    lateness: str = LATENESS,
 ) -> DataFrame:
     """Clicks of each ad for each sliding window, with the borders as text."""
-    counts = window_counts(df, ts, [ad], size, slide, by_pane=True)
+    counts = window_counts(df, ts, [ad], size, slide, lateness, by_pane=True)
     return counts.select(
         F.date_format("window_start", pattern).alias("window_start"),
         F.date_format("window_end", pattern).alias("window_end"),
