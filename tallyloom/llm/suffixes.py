@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.llm.runindex import DEPTH, SEPARATOR, RunIndex
 
-GRAM = 16
+GRAM = 24
 #: Bytes of the documents of one batch, on average; a longer document is a batch of its own.
 BATCH_BYTES = 4_000_000
 #: Bytes that are worked on at a time; positions must fit 24 bits.
@@ -51,7 +51,7 @@ def _grams(data: np.ndarray) -> np.ndarray:
     for step in (1, 2, 4):
         x = x[:-step] | (x[step:] << np.uint64(8 * step))
     n = len(data)
-    return _mixed(x[:n] * np.uint64(0x9E3779B97F4A7C15) + _mixed(x[8 : n + 8]))
+    return _mixed(x[:n] * np.uint64(0x9E3779B97F4A7C15) + _mixed(x[8 : n + 8] + np.uint64(0xD6E8FEB86659FD93) * x[16 : n + 16]))
 
 
 def _smallest(keys: np.ndarray, width: int) -> np.ndarray:
