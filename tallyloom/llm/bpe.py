@@ -4,8 +4,8 @@ A partition's texts are split into words.  The words that this worker has not me
 other as symbols, and an index maps every pair of neighbouring symbols to all its positions.  The active ranks are
 applied in ascending order: a rank is merged at all its positions at once, and the lists of the pairs that the
 merge destroyed or created are brought up to date.  Each distinct word is so encoded once for a partition and not
-once for each time it occurs.  The words met are kept for later partitions of the worker, up to ``KEPT_WORDS``;
-that is a store of results, and forgetting them costs time only.
+once for each time it occurs.  The words met are kept for later partitions of the worker, up to twice
+``KEPT_WORDS``; that is a store of results, and forgetting them costs time only.
 
 Encoding follows a vocabulary file of the public ``tokenizers`` format: added tokens are cut out of the raw text,
 the rest is normalised (NFC, white space, lower case character by character), split by the file's pattern and
@@ -18,6 +18,7 @@ import functools
 import hashlib
 import heapq
 import json
+import re
 import unicodedata
 from collections.abc import Iterable, Iterator
 
@@ -26,9 +27,12 @@ import regex
 from pyspark.sql import DataFrame
 
 VOCABULARY = "word_bpe_49k.json"
-KEPT_WORDS = 400_000
+KEPT_WORDS = 500_000
 #: Characters of text that are split into words before the words are encoded; a longer text is taken whole.
 CHUNK_CHARS = 1_000_000
+#: Texts of characters up to this one are split by the quicker of two equal patterns.
+LATIN = "\u024f"
+_BEYOND = re.compile(f"[^\0-{LATIN}]")
 
 
 def vocabulary_path(name: str = VOCABULARY) -> str:
@@ -67,15 +71,25 @@ class Encoder:
         self.added = added
         self.cut = regex.compile("(" + "|".join(map(regex.escape, sorted(added, key=len, reverse=True))) + ")") if added else None
         self.words = regex.compile(spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"])
-        self.space = regex.compile(r"\s+")
+        self.quick = self._quick(spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"])
         end = model["end_of_word_suffix"] or ""
         characters = _byte_characters()
+        self.ends = {i for s, i in vocabulary.items() if end and s.endswith(end)}
         self.inner = [vocabulary[c] for c in characters]
         self.last = [vocabulary[c + end] for c in characters]
         pairs = (m.split(" ") if isinstance(m, str) else m for m in model["merges"])
         self.ranks = {(vocabulary[a], vocabulary[b]): (r, vocabulary[a + b]) for r, (a, b) in enumerate(pairs)}
         self.pairs = {r: (pair, new) for pair, (r, new) in self.ranks.items()}
         self.kept: dict[str, tuple[int, ...]] = {}
+        self.older: dict[str, tuple[int, ...]] = {}
+
+    @staticmethod
+    def _quick(pattern: str) -> re.Pattern:
+        """The pattern for texts without characters beyond ``LATIN``, with its classes written out."""
+        for name in (r"\p{L}", r"\p{N}", r"\s"):
+            members = "".join(re.escape(chr(i)) for i in range(ord(LATIN) + 1) if regex.match(name, chr(i)))
+            pattern = pattern.replace(name, members)  # all of them stand within brackets
+        return re.compile(pattern)
 
     def split(self, text: str) -> list[str]:
         """The words of a text; an added token is a word of its own."""
@@ -87,20 +101,29 @@ class Encoder:
         return words
 
     def _plain(self, text: str) -> list[str]:
+        # The file turns white space to blanks first; as no word holds any, that changes no word.
         if text.isascii():
-            return self.words.findall(text.lower())
-        return self.words.findall(_lower(self.space.sub(" ", unicodedata.normalize("NFC", text))))
+            return self.quick.findall(text.lower())
+        low = _lower(text if unicodedata.is_normalized("NFC", text) else unicodedata.normalize("NFC", text))
+        return (self.words if _BEYOND.search(low) else self.quick).findall(low)
 
     def learn(self, words: Iterable[str]) -> None:
-        """Encode the words that are not kept yet."""
-        fresh = [w for w in dict.fromkeys(words) if w not in self.kept]
-        if len(self.kept) + len(fresh) > KEPT_WORDS:
-            fresh = list(dict.fromkeys(words))
-            self.kept = {}
-        tokens = [w for w in fresh if w[0] == "\0" and w[1:] in self.added]
-        self.kept.update({w: (self.added[w[1:]],) for w in tokens})
-        fresh = [w for w in fresh if w not in self.kept]
-        self.kept.update(zip(fresh, self._merged(fresh), strict=True))
+        """Encode the words that are not kept yet.
+
+        When the store is full it becomes the older one: words that are met again come back from there, the others
+        are forgotten with the next turn.
+        """
+        wanted = set(words)
+        if len(self.kept) + len(wanted) > KEPT_WORDS:
+            self.older, self.kept = self.kept, {}
+        fresh = wanted - self.kept.keys()
+        again = fresh & self.older.keys()
+        self.kept.update((w, self.older[w]) for w in again)
+        fresh -= again
+        tokens = {w for w in fresh if w[0] == "\0" and w[1:] in self.added}
+        self.kept.update((w, (self.added[w[1:]],)) for w in tokens)
+        plain = sorted(fresh - tokens)
+        self.kept.update(zip(plain, self._merged(plain), strict=True))
 
     def _merged(self, words: list[str]) -> list[tuple[int, ...]]:
         symbols: list[int] = []
