@@ -10,6 +10,7 @@ one shard is left, so the shards' last, half-empty sequences do not add up.
 
 from __future__ import annotations
 
+import functools
 import math
 import random
 import zlib
@@ -20,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.llm.bpe import KEPT_WORDS, encoder, split_batches
+from tallyloom.llm.bpe import KEPT_WORDS, Encoder, split_batches, vocabulary_path
 from tallyloom.shared_folder import staged
 
 CAPACITY = 2048
@@ -33,6 +34,37 @@ POPULATION = 4
 DISSOLVED = 0.05
 
 
+class LibraryEncoder(Encoder):
+    """Words are split and kept as the encoder does; the ids of new words come from the ``tokenizers`` library."""
+
+    def __init__(self, path: str) -> None:
+        from tokenizers import Tokenizer
+
+        super().__init__(path)
+        self.library = Tokenizer.from_file(path)
+
+    def _merged(self, words: list[str]) -> list[tuple[int, ...]]:
+        out: list[tuple[int, ...]] = []
+        for a in range(0, len(words), 1000):
+            some = words[a : a + 1000]
+            word: list[int] = []
+            found = []
+            for i in self.library.encode(" ".join(some), add_special_tokens=False).ids:
+                word.append(i)
+                if i in self.ends:
+                    found.append(tuple(word))
+                    word = []
+            if word or len(found) != len(some):  # a word that does not stand for itself among others
+                found = [tuple(self.library.encode(w, add_special_tokens=False).ids) for w in some]
+            out += found
+        return out
+
+
+@functools.lru_cache(maxsize=2)
+def library_encoder(path: str | None) -> LibraryEncoder:
+    return LibraryEncoder(path or vocabulary_path())
+
+
 def token_pieces(docs: DataFrame, capacity: int = CAPACITY, end_id: int = 0, with_ids: bool = False, path: str | None = None) -> DataFrame:
     """The pieces of every document: its token ids and ``end_id``, cut only if longer than ``capacity``.
 
@@ -41,7 +73,7 @@ def token_pieces(docs: DataFrame, capacity: int = CAPACITY, end_id: int = 0, wit
     """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = encoder(path)
+        coder = library_encoder(path)
         packed: dict[str, bytes] = {}
         end = np.array([end_id], "<u4").tobytes()
         for batch in batches:

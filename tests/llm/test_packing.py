@@ -62,3 +62,9 @@ def test_documents(spark):
     whole = packing.sequences(packing.pack(pieces)).collect()
     assert sum(len(r.ids) for r in whole) == total
     assert packing.pack(packing.token_pieces(docs.limit(0))).count() == 0
+
+
+def test_library_words_equal_the_pair_index():
+    own, library = bpe.Encoder(bpe.vocabulary_path()), packing.LibraryEncoder(bpe.vocabulary_path())
+    text = "Don't you'll ''s '' ' 'sx ab12 <|endoftext|> é日本🎉 ... -- a\0b \x1c ẞ ΣΑΣ " + " ".join(f"w{i}ord" for i in range(1500))
+    assert own.encode(text) == library.encode(text) == library.library.encode(text, add_special_tokens=False).ids
