@@ -7,8 +7,8 @@ edit distance and not only for a common vocabulary.  Texts with an equal entry a
 Candidates are compared in two passes, and never all with all.  First every text of a bucket is compared with the
 bucket's most central text (the one that shares most buckets), which settles large groups of copies of one text with
 a comparison a member.  Texts that still meet a text of another class in a bucket get longer sketch entries, with
-which texts meet only if they are really alike; there, a text is compared with one text of each other class in its
-bucket.  Two texts are linked if the Jaccard similarity of their shingles is 0.8 or more and a banded alignment of
+which texts meet only if they are really alike; there, a text is compared with one text of each larger class in its
+bucket (of a pair at the threshold nine buckets are shared on average, so a class is asked nine times).  Two texts are linked if the Jaccard similarity of their shingles is 0.8 or more and a banded alignment of
 their words keeps 0.8 of the longer one in order.  Classes are the connected components of the links.
 
 Texts that are equal word for word are folded before all this.
@@ -166,8 +166,8 @@ def _sketched(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _longer(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        entries = [sketch(words_of(t), *LONG, 2) for t in batch.column(2).to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(entries, pa.list_(pa.int64()))], names=["node", "root", "entries"])
+        entries = [sketch(words_of(t), *LONG, 2) for t in batch.column(3).to_pylist()]
+        yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(entries, pa.list_(pa.int64()))], names=["node", "root", "size", "entries"])
 
 
 def _verified(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -216,13 +216,16 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     placed = _with_roots(members.select("node", "entry"), roots)
     mixed = placed.groupBy("entry").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
     unsettled = staged(placed.join(mixed.select("entry"), "entry", "left_semi").select("node", "root").distinct(), "unsettled")
-    longer = unsettled.join(texts, "node").select("node", "root", "text").mapInArrow(_longer, "node long, root long, entries array<long>")
-    again = staged(longer.select("node", "root", F.explode("entries").alias("entry")), "members")
+    sized = unsettled.join(unsettled.groupBy("root").agg(F.count("*").alias("size")), "root").select("node", "root", "size")
+    longer = sized.join(texts, "node").select("node", "root", "size", "text").mapInArrow(_longer, "node long, root long, size long, entries array<long>")
+    again = staged(longer.select("node", "root", "size", F.explode("entries").alias("entry")), "members")
     # One text of each class in a bucket stands for it; of a bucket with a single class nothing is compared.
-    heads = again.groupBy("entry", "root").agg(F.min(F.struct(F.xxhash64("node", "entry"), "node")).alias("h")).select("entry", F.col("root").alias("head_root"), "h.node")
+    head = F.min(F.struct(F.xxhash64("node", "entry"), "node", "size")).alias("h")
+    heads = again.groupBy("entry", "root").agg(head).select("entry", F.col("root").alias("head_root"), F.col("h.size").alias("head_size"), "h.node")
     several = heads.groupBy("entry").agg(F.min("head_root").alias("low"), F.max("head_root").alias("high")).where("low <> high").select("entry")
-    heads = staged(heads.join(several, "entry", "left_semi").select("entry", "head_root", F.col("node").alias("b")), "heads")
-    further = again.join(heads, "entry").where("root <> head_root").select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b")).distinct()
+    heads = staged(heads.join(several, "entry", "left_semi").select("entry", "head_root", "head_size", F.col("node").alias("b")), "heads")
+    smaller = F.struct("size", "root") < F.struct(F.col("head_size").alias("size"), F.col("head_root").alias("root"))
+    further = again.join(heads, [again["entry"] == heads["entry"], smaller]).select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b")).distinct()
     more = staged(_links(further, texts), "links")
     return _classes(table, folded, components(links.union(more)))
 
