@@ -120,9 +120,11 @@ def fit(sample: np.ndarray, parts: int) -> Router:
         d = sample.shape[1] if n else 1
         return Router(1.0, [np.zeros((d, 1)), np.zeros(1), np.zeros((1, 1)), np.zeros(1)], 1)
     k = min(GRAPH_NEIGHBOURS, n - 1)
-    score = sample @ sample.T
-    np.fill_diagonal(score, -np.inf)
-    near = np.argpartition(-score, k - 1, axis=1)[:, :k]
+    near = np.empty((n, k), np.int64)
+    for a in range(0, n, 256):  # in blocks: all scores at once would be the driver's largest table
+        score = -(sample[a : a + 256] @ sample.T)
+        score[np.arange(len(score)), np.arange(a, a + len(score))] = np.inf
+        near[a : a + 256] = np.argpartition(score, k - 1, axis=1)[:, :k]
     graph = np.zeros((n, n), np.float32)
     graph[np.arange(n)[:, None], near] = 1
     graph = np.maximum(graph, graph.T)
