@@ -7,7 +7,7 @@ begins (and, for whole words, ends), unless it lies within an exception phrase.
 of the weight of the distinct entries found and of the weighted hits per hundred words.
 
 The lexicon is learned from labelled rows: entries whose smoothed log-odds are high, exception phrases that hold an
-entry but occur in clean texts.  At most ``max_labelled`` labelled rows (those with the smallest hash) are used.
+entry but occur in clean texts.  Of more than ``max_labelled`` labelled rows about that many are used, chosen by a hash of the text.
 """
 
 from __future__ import annotations
@@ -166,13 +166,9 @@ def learn(labelled: DataFrame, max_labelled: int = MAX_LABELLED) -> Lexicon:
     Counts are made on the cluster; only the chosen entries, at most ``MAX_ENTRIES``, come to the driver.  Without
     toxic rows the lexicon is empty.
     """
-    rows = staged(
-        labelled.select(F.col("text"), F.col("toxic").cast("int").alias("toxic"))
-        .where("text is not null and toxic is not null")
-        .orderBy(F.xxhash64("text"), "text", "toxic")
-        .limit(max_labelled),
-        "labelled",
-    )
+    known = staged(labelled.select(F.col("text"), F.col("toxic").cast("int").alias("toxic")).where("text is not null and toxic is not null"), "labelled")
+    share = max_labelled / max(1, known.count())
+    rows = known if share >= 1 else known.where(F.pmod(F.xxhash64("text", F.lit(11)), F.lit(1_000_000)) < int(1_000_000 * share))
     totals = rows.groupBy().agg(F.sum("toxic").alias("t"), F.count("*").alias("n")).first()
     toxic, clean = int(totals.t or 0), int(totals.n - (totals.t or 0))
     if not toxic:
