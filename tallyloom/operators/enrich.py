@@ -84,8 +84,8 @@ def enrich_region(df: DataFrame, ip: str, ranges: DataFrame) -> DataFrame:
     ``area``.  A range is listed once for each block of addresses it touches,
     at most 65,536 of them, and an address looks only at its own block: an
     equi join with a range condition.  An address finds one range at most, so
-    no row is repeated, and one without a range gets the defaults.  A blank
-    address has no region.  Addresses that cannot be read find no block, and
+    no row is repeated, and one without a range gets the defaults.
+    Addresses that cannot be read find no block, and
     are dealt by the row instead of meeting in one task.
     """
     width = 1 << (32 - BLOCK_BITS)
@@ -105,7 +105,7 @@ def enrich_region(df: DataFrame, ip: str, ranges: DataFrame) -> DataFrame:
     defaults = {"country": HOME_COUNTRY, "province": DEFAULT_PROVINCE, "city": UNKNOWN}
     return (
         keyed.join(listed, inside, "left")
-        .withColumns({n: F.when(~is_blank(F.col(ip)), F.coalesce(f"_{n}", F.lit(default))) for n, default in defaults.items()})
+        .withColumns({n: F.coalesce(f"_{n}", F.lit(default)) for n, default in defaults.items()})
         .drop("_n", "_at", "_lo", "_hi", "_block", *[f"_{n}" for n in defaults])
     )
 

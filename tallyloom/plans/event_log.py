@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom.functions.dates import server_time_to_millis
-from tallyloom.functions.text import event_row_key
+from tallyloom.functions.text import event_row_key, is_blank
 from tallyloom.operators.aggregates import new_users_both
 from tallyloom.operators.enrich import enrich_region, enrich_user_agent
 from tallyloom.operators.parsing import filter_event_types, parse_event_log
@@ -29,6 +29,8 @@ def clean_events(lines: DataFrame, ranges: DataFrame | None = None, col: str = "
     derived = _DERIVED[3:]
     if ranges is not None:
         events = enrich_region(events, "_ip", ranges)
+        # A line without an address has no region.
+        events = events.withColumns({c: F.when(~is_blank(F.col("_ip")), F.col(c)) for c in _DERIVED[:3]})
         derived = _DERIVED
     plain = F.map_filter("fields", lambda k, v: ~k.isin(derived))
     added = F.map_from_arrays(

@@ -32,7 +32,7 @@ def test_addresses(spark):
     ranges = spark.createDataFrame([(0, 2**32 - 1, "日本")], "lo long, hi long, area string")
     df = spark.createDataFrame([("1.2.3.4",), ("1.2.3.300",), ("1.2.-4.3",), ("",), (None,)], "ip string")
     got = {r.ip: r.country for r in enrich.enrich_region(df, "ip", ranges).collect()}
-    assert got == {"1.2.3.4": "日本", "1.2.3.300": "中国", "1.2.-4.3": "中国", "": None, None: None}
+    assert got == {"1.2.3.4": "日本", "1.2.3.300": "中国", "1.2.-4.3": "中国", "": "中国", None: "中国"}
 
 
 def test_intervals():
