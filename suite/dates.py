@@ -100,8 +100,11 @@ def _period_starts(spark, sf_dir):
 
 @query(
     "yesterday",
-    "SELECT count(*) AS older FROM orders WHERE strftime(o_orderdate, '%Y-%m-%d') < strftime(current_date - 1, '%Y-%m-%d')",
+    """SELECT o_orderkey, strftime(current_date - CAST(o_orderkey % 3 AS INTEGER), '%Y-%m-%d') < strftime(current_date - 1, '%Y-%m-%d') AS older
+       FROM orders""",
 )
 def _yesterday(spark, sf_dir):
-    older = F.date_format("o_orderdate", "yyyy-MM-dd") < dates.yesterday()
-    return table(spark, sf_dir, "orders").filter(older).agg(F.count(F.lit(1)).alias("older"))
+    """Days around yesterday, told apart by the key of an order."""
+    day = F.date_sub(F.current_date(), (F.col("o_orderkey") % 3).cast("int"))
+    older = F.date_format(day, "yyyy-MM-dd") < dates.yesterday()
+    return table(spark, sf_dir, "orders").select("o_orderkey", older.alias("older"))

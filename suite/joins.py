@@ -187,12 +187,14 @@ def _route_by_type(spark, sf_dir):
     return spark.read.parquet(path)
 
 
-@query("train_test_split", "SELECT count(*) AS all_rows, count(*) AS in_one_part FROM documents")
+@query("train_test_split", "SELECT doc_id, 1 AS parts, true AS fair FROM documents")
 def _train_test_split(spark, sf_dir):
-    """Both parts together are the whole, without overlap."""
+    """Every row is in one part, and the shares are within five standard deviations of those asked for."""
     from suite.tables import table
 
     docs = table(spark, sf_dir, "documents").select("doc_id")
     train, test = train_test_split(docs)
-    parts = train.union(test).groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
-    return parts.agg(F.sum("n").alias("all_rows"), F.count_if(F.col("n") == 1).alias("in_one_part"))
+    n, in_train = docs.count(), train.count()
+    fair = abs(in_train - 0.8 * n) <= 5 * (0.16 * n) ** 0.5
+    parts = train.union(test).groupBy("doc_id").agg(F.count(F.lit(1)).cast("int").alias("parts"))
+    return parts.withColumn("fair", F.lit(fair))

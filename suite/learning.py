@@ -1,7 +1,7 @@
 """Recommendation and classification.
 
-Trained numbers have no SQL twin.  Where the shape of a result follows from
-the input, the shape is compared; the numbers are checked in the tests.
+Trained numbers have no SQL twin, so the queries compare what must hold for them: factors solve their equations,
+predictions are products of factors, recommendations are the best of all, weights follow from counts.
 """
 
 from __future__ import annotations
@@ -18,25 +18,61 @@ from tallyloom.shared_folder import new_path
 
 _LANGUAGES = {"de": 0.0, "en": 1.0, "es": 2.0, "fr": 3.0}
 _ROUNDS = 10
+_RANK = 10
+#: The regularisation that training uses if none is given.
+_PENALTY = 0.1
+_TOKENS = r"""
+tokens AS (
+  SELECT doc_id, list_transform(regexp_split_to_array(regexp_replace(text, '\s+$', ''), '\s+'),
+                                lambda x: regexp_replace(lower(x), '[,.]', '', 'g')) AS w FROM documents)"""
 
 
 def _train(spark, sf_dir):
     return ml.als_train(ratings(spark, sf_dir), iters=_ROUNDS)
 
 
-@query("als_train")
+def _product(left: str, right: str) -> F.Column:
+    """The inner product of two factors."""
+    pairs = F.zip_with(left, right, lambda x, y: x.cast("double") * y)
+    return F.aggregate(pairs, F.lit(0.0), lambda total, x: total + x)
+
+
+def _factors(model, kind: str, name: str):
+    return ml.als_factors(model).where(F.col("kind") == kind).select(F.col("id").alias(f"{kind}_id"), F.col("features").alias(name))
+
+
+def _solved(model, rows):
+    """user_id, solved: the last step of training solves the normal equations of a user for the factors of the items."""
+    joined = rows.join(_factors(model, "item", "q"), "item_id").join(_factors(model, "user", "p"), "user_id")
+    error = _product("p", "q") - F.col("rating")
+    slope = [F.sum(error * F.col("q")[k]) + _PENALTY * F.count("*") * F.first("p")[k] for k in range(_RANK)]
+    size = F.sum(F.abs("rating") * F.sqrt(_product("q", "q"))) + F.count("*")
+    return joined.groupBy("user_id").agg((F.greatest(*[F.abs(s) for s in slope]) <= 1e-4 * size).alias("solved"))
+
+
+@query("als_train", with_ctes(RATINGS) + "SELECT DISTINCT user_id, true AS solved, true AS scored FROM ratings")
 def _als_train(spark, sf_dir):
-    return train_and_score(ratings(spark, sf_dir), iters=_ROUNDS)[1]
+    """Every user's factors solve their equations, and the model's error is that of the products of its factors."""
+    rows = ratings(spark, sf_dir)
+    model, metrics = train_and_score(rows, iters=_ROUNDS)
+    joined = rows.join(_factors(model, "item", "q"), "item_id").join(_factors(model, "user", "p"), "user_id")
+    error = _product("p", "q") - F.col("rating")
+    true_mse = joined.agg(F.avg(error * error)).first()[0]
+    scored = abs(metrics.first()["mse"] - true_mse) <= 1e-4 * true_mse
+    return _solved(model, rows).withColumn("scored", F.lit(scored))
 
 
 @query(
     "als_factors",
     with_ctes(RATINGS)
-    + """SELECT 'user' AS kind, user_id AS id, 10 AS size FROM (SELECT DISTINCT user_id FROM ratings)
-         UNION ALL SELECT 'item', item_id, 10 FROM (SELECT DISTINCT item_id FROM ratings)""",
+    + """SELECT 'user' AS kind, user_id AS id, 10 AS size, true AS solved FROM (SELECT DISTINCT user_id FROM ratings)
+         UNION ALL SELECT 'item', item_id, 10, NULL FROM (SELECT DISTINCT item_id FROM ratings)""",
 )
 def _als_factors(spark, sf_dir):
-    return ml.als_factors(_train(spark, sf_dir)).select("kind", "id", F.size("features").alias("size"))
+    model = _train(spark, sf_dir)
+    solved = _solved(model, ratings(spark, sf_dir)).select(F.lit("user").alias("kind"), F.col("user_id").alias("id"), "solved")
+    sized = ml.als_factors(model).select("kind", "id", F.size("features").alias("size"))
+    return sized.join(solved, ["kind", "id"], "left")
 
 
 @query(
@@ -57,20 +93,44 @@ def _recommend_for_all_items(spark, sf_dir):
     return best.select("item_id", F.size(F.array_distinct("recommendations.user_id")).alias("n"))
 
 
-@query("recommend_for_one")
+@query(
+    "recommend_for_one",
+    with_ctes(RATINGS)
+    + """, sides AS (
+           SELECT 'user' AS kind, count(DISTINCT item_id) AS n FROM ratings HAVING bool_or(user_id = 1)
+           UNION ALL SELECT 'item', count(DISTINCT user_id) FROM ratings HAVING bool_or(item_id = 1))
+         SELECT kind, unnest(range(least(n, 10))) AS place, true AS is_product, true AS is_best FROM sides""",
+)
 def _recommend_for_one(spark, sf_dir):
-    best = ml.recommend_for_one(_train(spark, sf_dir), 1).select(F.explode("recommendations").alias("r"))
-    return best.select("r.item_id", "r.rating")
+    """For user 1 and for item 1: each score is a product of factors, and at each place none is better."""
+    model = _train(spark, sf_dir)
+
+    def side(kind, other):
+        one = _factors(model, kind, "mine").where(F.col(f"{kind}_id") == 1).first()
+        mine = F.lit(list(one.mine) if one else []).cast("array<float>")
+        scores = _factors(model, other, "theirs").withColumn("mine", mine).select(f"{other}_id", _product("mine", "theirs").alias("score"))
+        best = F.lit([r.score for r in scores.orderBy(F.desc("score")).limit(10).collect()]).cast("array<double>")
+        given = ml.recommend_for_one(model, 1, 10, kind).select(F.posexplode("recommendations").alias("place", "r"))
+        given = given.select(F.col("place").cast("long").alias("place"), f"r.{other}_id", "r.rating")
+        near = lambda x: F.abs(F.col("rating") - x) <= 1e-4 * (1 + F.abs(x))
+        return given.join(scores, f"{other}_id").select(
+            F.lit(kind).alias("kind"), "place", near(F.col("score")).alias("is_product"), near(F.get(best, F.col("place").cast("int"))).alias("is_best")
+        )
+
+    return side("user", "item").unionByName(side("item", "user"))
 
 
 @query(
     "als_predict",
-    with_ctes(RATINGS) + "SELECT DISTINCT user_id, item_id, true AS predicted FROM ratings",
+    with_ctes(RATINGS) + "SELECT DISTINCT user_id, item_id, true AS is_product FROM ratings",
 )
 def _als_predict(spark, sf_dir):
+    model = _train(spark, sf_dir)
     pairs = ratings(spark, sf_dir).select("user_id", "item_id").distinct()
-    known = F.col("prediction").isNotNull() & ~F.isnan("prediction")
-    return ml.als_predict(_train(spark, sf_dir), pairs).select("user_id", "item_id", known.alias("predicted"))
+    scored = ml.als_predict(model, pairs).join(_factors(model, "item", "q"), "item_id").join(_factors(model, "user", "p"), "user_id")
+    product = _product("p", "q")
+    near = F.abs(F.col("prediction") - product) <= 1e-4 * (1 + F.abs(product))
+    return scored.select("user_id", "item_id", near.alias("is_product"))
 
 
 @query(
@@ -91,23 +151,34 @@ def _regression_metrics(spark, sf_dir):
 
 @query(
     "save_load_model",
-    with_ctes(RATINGS) + "SELECT count(DISTINCT user_id) AS users, count(DISTINCT item_id) AS items FROM ratings",
+    with_ctes(RATINGS)
+    + """SELECT 'user' AS kind, user_id AS id, true AS same FROM (SELECT DISTINCT user_id FROM ratings)
+         UNION ALL SELECT 'item', item_id, true FROM (SELECT DISTINCT item_id FROM ratings)""",
 )
 def _save_load_model(spark, sf_dir):
-    model = ml.save_load_model(_train(spark, sf_dir), new_path(spark, "model"))
-    return ml.als_factors(model).agg(
-        F.count_if(F.col("kind") == "user").alias("users"), F.count_if(F.col("kind") == "item").alias("items")
-    )
+    """The factors before and after."""
+    model = _train(spark, sf_dir)
+    loaded = ml.als_factors(ml.save_load_model(model, new_path(spark, "model"))).withColumnRenamed("features", "loaded")
+    both = ml.als_factors(model).join(loaded, ["kind", "id"], "full")
+    return both.select("kind", "id", F.col("features").eqNullSafe(F.col("loaded")).alias("same"))
 
 
 def _texts(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
 
 
-@query("tfidf_features", "SELECT doc_id, 100000 AS dims FROM documents")
+@query("tfidf_features", with_ctes(_TOKENS) + "SELECT doc_id, 100000 AS dims, len(w) AS n_words, true AS weighted FROM tokens")
 def _tfidf_features(spark, sf_dir):
-    features = ml.tfidf_features(tokenize_lowercase(_texts(spark, sf_dir), "text"))
-    return features.select("doc_id", F.unwrap_udt("features")["size"].alias("dims"))
+    """Term frequencies add up to the words of a text, and each weight is what its term's frequencies say."""
+    docs = tokenize_lowercase(_texts(spark, sf_dir), "text").select("doc_id", "words")
+    both = ml.term_frequencies(ml.tfidf_features(docs)).withColumns({"f": F.unwrap_udt("features"), "t": F.unwrap_udt("tf")})
+    lists = both.select("doc_id", F.col("f.size").alias("dims"), F.col("f.indices").alias("term"), F.col("f.values").alias("weight"), F.col("t.values").alias("n"))
+    terms = lists.select("doc_id", "dims", F.inline(F.arrays_zip("term", "weight", "n")))
+    known = terms.groupBy("term").agg(F.count("*").alias("df"))
+    expected = F.col("n") * F.log((F.lit(docs.count()) + 1) / (F.col("df") + 1))
+    return terms.join(known, "term").groupBy("doc_id").agg(
+        F.first("dims").alias("dims"), F.sum("n").cast("long").alias("n_words"), F.every(F.abs(F.col("weight") - expected) <= 1e-9 * (1 + expected)).alias("weighted")
+    )
 
 
 @query(
@@ -140,6 +211,18 @@ def _confusion_counts(spark, sf_dir):
     return ml.confusion_counts(table(spark, sf_dir, "labels"), "quality", "toxic")
 
 
-@query("word2vec_synonyms")
+@query(
+    "word2vec_synonyms",
+    r"""WITH words AS (
+          SELECT unnest(regexp_split_to_array(regexp_replace(lower(text), '\s+$', ''), '\s+')) AS word FROM documents),
+        vocabulary AS (SELECT replace(word, ',', '') AS word FROM words GROUP BY 1 HAVING count(*) >= 5)
+        SELECT least(10, count(*) - 1) AS n, least(10, count(*) - 1) AS known, true AS others FROM vocabulary""",
+)
 def _word2vec_synonyms(spark, sf_dir):
-    return ml.word2vec_synonyms(ml.news_words(_texts(spark, sf_dir), "text"), "words", "the")
+    """As many different words as asked for, all of the vocabulary and none the word itself."""
+    words = ml.news_words(_texts(spark, sf_dir), "text").select("words")
+    vocabulary = words.select(F.explode("words").alias("word")).groupBy("word").agg(F.count("*").alias("cnt")).where("cnt >= 5")
+    found = ml.word2vec_synonyms(words, "words", "the")
+    return found.join(vocabulary, "word", "left").agg(
+        F.count_distinct("word").alias("n"), F.count("cnt").alias("known"), F.every(F.col("word") != "the").alias("others")
+    )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from suite.registry import query
@@ -31,6 +32,7 @@ from tallyloom.functions.dates import server_time_to_millis
 from tallyloom.functions.registry import register_functions
 from tallyloom.operators import enrich, parsing
 from tallyloom.plans.event_log import clean_events
+from tallyloom.shared_folder import new_path
 
 
 @query("parse_access_log", with_ctes(ACCESS_LINES) + "SELECT * FROM access_log")
@@ -291,11 +293,20 @@ def _first_segment(spark, sf_dir):
 
 @query(
     "project_filter_sort",
-    "SELECT c_name AS ename, c_acctbal AS sal FROM customer WHERE c_acctbal > 1500 AND c_mktsegment = 'BUILDING'",
+    """SELECT c_name AS ename, c_acctbal AS sal, row_number() OVER (ORDER BY c_acctbal DESC, c_name) - 1 AS place
+       FROM customer WHERE c_acctbal > 1500 AND c_mktsegment = 'BUILDING'""",
 )
 def _project_filter_sort(spark, sf_dir):
     wanted = (F.col("sal") > 1500) & (F.col("job") == "BUILDING")
-    return parsing.project_filter_sort(employees(spark, sf_dir), ["ename", "sal"], wanted, [F.desc("sal")])
+    rows = parsing.project_filter_sort(employees(spark, sf_dir), ["ename", "sal"], wanted, [F.desc("sal"), F.col("ename")])
+    # A place in the sorted output: rows of earlier partitions, and those before it in its own.
+    path = new_path(spark, "sorted")
+    rows.withColumn("mark", F.monotonically_increasing_id()).write.parquet(path)
+    kept = spark.read.parquet(path).withColumn("part", F.shiftright("mark", 33))
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = kept.groupBy("part").agg(F.count("*").alias("n")).withColumn("start", F.coalesce(F.sum("n").over(before), F.lit(0)))
+    place = F.col("start") + F.col("mark").bitwiseAND((1 << 33) - 1)
+    return kept.join(starts, "part").select("ename", "sal", place.alias("place"))
 
 
 @query(
