@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyloom.shared_folder import new_path
+
 AREA_LEVELS = {"AFRICA": "A", "AMERICA": "B", "ASIA": "C", "EUROPE": "D"}
 
 
@@ -15,10 +17,27 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Batches that a table is streamed in: five at least, and more if a batch would have more rows than this.
+BATCHES, BATCH_ROWS = 5, 1_000_000
+_TIMES = {"events": "ts", "orders": "o_orderdate"}
+
+
 def stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A given table as a stream, whether it is one file or a folder of files."""
-    schema = table(spark, sf_dir, name).schema
-    return spark.readStream.schema(schema).parquet(f"{sf_dir}/{name}.parque[t]")
+    """A given table as a stream of several batches in order of time, all rows included.
+
+    Each span of time becomes one file of a new folder, and each batch takes one file.
+    """
+    rows, time = table(spark, sf_dir, name), _TIMES[name]
+    inbox, at = new_path(spark, f"{name}-inbox"), F.col(time)
+    lo, hi, n = rows.agg(F.min(at), F.max(at), F.count("*")).first()
+    batches = max(BATCHES, -(-n // BATCH_ROWS)) if lo is not None else 1
+    bounds = [F.lit(str(lo + (hi - lo) * i / batches)).cast(rows.schema[time].dataType) for i in range(1, batches)]
+    for i in range(batches):
+        span = (at >= bounds[i - 1]) if i else F.lit(True)
+        if i < batches - 1:
+            span &= (at < bounds[i]) if i else (at < bounds[i]) | at.isNull()
+        rows.where(span).coalesce(1).write.mode("append").parquet(inbox)
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(inbox)
 
 
 def with_instant(df: DataFrame, ts: str = "ts") -> DataFrame:
