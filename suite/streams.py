@@ -105,6 +105,15 @@ def _window_word_count_running(spark, sf_dir):
     return _plain(_upserted(spark, counts, keys, "window-words"), "window_start", "window_end")
 
 
+@query("window_word_count_late", _WINDOW_WORDS)
+def _window_word_count_late(spark, sf_dir):
+    """Batches arrive backwards in time; rows far behind the newest one still count because ``lateness`` says so."""
+    lines = with_instant(message_columns(stream(spark, sf_dir, "events", newest_first=True)))
+    counts = windows.window_word_count(lines, size="9 hours", slide="6 hours", lateness="36500 days")
+    keys = ["window_start", "window_end", "word"]
+    return _plain(_upserted(spark, counts, keys, "late-words"), "window_start", "window_end")
+
+
 @query("order_total_running", TOTALS)
 def _order_total_running(spark, sf_dir):
     path = new_path(spark, "totals")
@@ -209,6 +218,47 @@ def _resume_from_checkpoint(spark, sf_dir):
     return stores.read_upserted(spark, path, ["province_id"])
 
 
+_PRICES = """SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 0 THEN -o_totalprice ELSE o_totalprice END AS price,
+                    CAST(o_orderkey % 2 = 0 AS INTEGER) AS run FROM orders"""
+
+
+def _prices(spark, sf_dir, run):
+    """The prices of all orders in run 0; in run 1 those of even orders with another sign."""
+    rows, price = stream(spark, sf_dir, "orders"), F.col("o_totalprice")
+    rows = rows.where("o_orderkey % 2 = 0") if run else rows
+    return rows.select("o_orderkey", (-price if run else price).alias("price"), F.lit(run).alias("run"))
+
+
+@query("upsert_after_new_checkpoint", _PRICES)
+def _upsert_after_new_checkpoint(spark, sf_dir):
+    """The batch ids of a second stream start at 0 again; its rows are the newer ones all the same."""
+    path = new_path(spark, "prices")
+    for run in (0, 1):
+        write = stores.upsert_sink(path, ["o_orderkey"], generation=run)
+        run_to_end(_prices(spark, sf_dir, run), write, new_path(spark, "prices-checkpoint"), "append")
+    return stores.read_upserted(spark, path, ["o_orderkey"])
+
+
+@query("fold_then_append", _PRICES)
+def _fold_then_append(spark, sf_dir):
+    """A store is folded, and a new stream goes on with the folded one from batch 0."""
+    path, folded, keys = new_path(spark, "prices"), new_path(spark, "folded"), ["o_orderkey"]
+    run_to_end(_prices(spark, sf_dir, 0), stores.upsert_sink(path, keys), new_path(spark, "prices-checkpoint"), "append")
+    stores.fold_upserts(spark, path, keys, folded)
+    run_to_end(_prices(spark, sf_dir, 1), stores.upsert_sink(folded, keys), new_path(spark, "folded-checkpoint"), "append")
+    return stores.read_upserted(spark, folded, keys)
+
+
+@query("set_after_new_checkpoint", "SELECT DISTINCT o_custkey FROM orders")
+def _set_after_new_checkpoint(spark, sf_dir):
+    """Members of both streams stay, although the second one starts at batch 0."""
+    path = new_path(spark, "members")
+    for run in (0, 1):
+        members = stream(spark, sf_dir, "orders").where(F.col("o_orderkey") % 2 == run)
+        run_to_end(members, stores.set_sink(path, "o_custkey", generation=run), new_path(spark, "members-checkpoint"), "append")
+    return stores.read_set(spark, path, "o_custkey")
+
+
 @query("batch_time_label", "SELECT event_type, count(*) AS cnt, 1 AS labels FROM events GROUP BY event_type")
 def _batch_time_label(spark, sf_dir):
     """Every row of a batch carries one and the same time."""

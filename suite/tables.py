@@ -22,17 +22,18 @@ BATCHES, BATCH_ROWS = 5, 1_000_000
 _TIMES = {"events": "ts", "orders": "o_orderdate"}
 
 
-def stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def stream(spark: SparkSession, sf_dir: str, name: str, newest_first: bool = False) -> DataFrame:
     """A given table as a stream of several batches in order of time, all rows included.
 
-    Each span of time becomes one file of a new folder, and each batch takes one file.
+    Each span of time becomes one file of a new folder, and each batch takes one file; with ``newest_first`` the spans
+    arrive backwards, so that all rows but those of the first batch are late.
     """
     rows, time = table(spark, sf_dir, name), _TIMES[name]
     inbox, at = new_path(spark, f"{name}-inbox"), F.col(time)
     lo, hi, n = rows.agg(F.min(at), F.max(at), F.count("*")).first()
     batches = max(BATCHES, -(-n // BATCH_ROWS)) if lo is not None else 1
     bounds = [F.lit(str(lo + (hi - lo) * i / batches)).cast(rows.schema[time].dataType) for i in range(1, batches)]
-    for i in range(batches):
+    for i in reversed(range(batches)) if newest_first else range(batches):
         span = (at >= bounds[i - 1]) if i else F.lit(True)
         if i < batches - 1:
             span &= (at < bounds[i]) if i else (at < bounds[i]) | at.isNull()

@@ -144,3 +144,26 @@ def test_ingest_replays_and_bad_messages(spark, tmp_path, rows):
     write(cells, 0)
     stored = spark.read.parquet(str(tmp_path / "out")).select("table", "rowkey", "family", "qualifier", "value")
     assert rows(stored) == [("t1", "1", "i", "a", "x"), ("t1", "1", "i", "b", "y"), ("t2", "2", "i", "a", "z")]
+
+
+def test_streamed_tables_arrive_in_batches_of_time_without_losing_rows(spark, tmp_path, monkeypatch):
+    import datetime
+
+    from suite import tables
+
+    day = datetime.datetime(2024, 1, 1)
+    rows = [(i, day + datetime.timedelta(days=i * i)) for i in range(40)] + [(40, None)]
+    spark.createDataFrame(rows, "k int, ts timestamp_ntz").repartition(4).write.parquet(str(tmp_path / "events.parquet"))
+    for newest_first in (False, True):
+        seen = {}
+        run_to_end(
+            tables.stream(spark, str(tmp_path), "events", newest_first),
+            lambda batch, n, seen=seen: seen.__setitem__(n, [r.k for r in batch.collect()]),
+            str(tmp_path / f"checkpoint-{newest_first}"),
+            "append",
+        )
+        batches = [sorted(seen[n]) for n in sorted(seen)][:: -1 if newest_first else 1]
+        assert len(batches) == tables.BATCHES
+        assert sorted(k for b in batches for k in b) == list(range(41))
+        dated = [[k for k in b if k < 40] for b in batches]
+        assert [k for b in dated for k in b] == list(range(40))
