@@ -97,6 +97,11 @@ class Recording:
 
     def __init__(self):
         self.write = RecordingWriter()
+        self.writers = None
+
+    def repartition(self, n):
+        self.writers = n
+        return self
 
 
 def test_jdbc_writers_pass_their_options():
@@ -108,6 +113,7 @@ def test_jdbc_writers_pass_their_options():
         "table": "t",
         "properties": {"batchsize": "500", "numPartitions": "2", "user": "u"},
     }
+    assert df.writers == 2  # dealt by a shuffle, so the work before it stays parallel
     files.write_jdbc_overwrite(df, "jdbc:x", "t")
     assert df.write.calls["mode"] == "overwrite" and df.write.calls["properties"]["truncate"] == "true"
     files.write_jdbc_append(df, "jdbc:x", "t")
