@@ -7,9 +7,12 @@ edit distance and not only for a common vocabulary.  Texts with an equal entry a
 Candidates are compared in two passes, and never all with all.  First every text of a bucket is compared with the
 bucket's most central text (the one that shares most buckets), which settles large groups of copies of one text with
 a comparison a member.  Texts that still meet a text of another class in a bucket get longer sketch entries, with
-which texts meet only if they are really alike; there, a text is compared with one text of each larger class in its
-bucket (of a pair at the threshold nine buckets are shared on average, so a class is asked nine times).  Two texts are linked if the Jaccard similarity of their shingles is 0.8 or more and a banded alignment of
-their words keeps 0.8 of the longer one in order.  Classes are the connected components of the links.
+which texts meet only if they are really alike.  There, texts are compared with one text of the largest class of
+their bucket, which joins most of what belongs together; then *every* pair of a bucket whose texts are still in
+different classes is compared, but for pairs that cannot be alike by their number of shingles and by the parities of
+their shingles (both are bounds, so no pair that is alike is left out).  Two texts are linked if the Jaccard
+similarity of their shingles is 0.8 or more and a banded alignment of their words keeps 0.8 of the longer one in
+order.  Classes are the connected components of the links.
 
 Texts that are equal word for word are folded before all this.
 """
@@ -35,6 +38,8 @@ SHORT = (3, 16)
 LONG = (12, 128)
 #: Entries that are computed at a time; bounds memory for long texts.
 LANES = 16
+#: Longs of parities of shingles.
+PARITIES = 8
 KEPT_WORDS = 500_000
 
 _WORD = re.compile(r"\w+")
@@ -107,6 +112,17 @@ def sketch(words: np.ndarray, length: int, entries: int, seed: int) -> np.ndarra
     return out.view(np.int64)
 
 
+def outline(words: np.ndarray) -> tuple[int, list[int]]:
+    """Number of the distinct shingles of a text, and the parities of how many of them fall on each bit.
+
+    The bits in which two texts differ are never more than the shingles that only one of them has.
+    """
+    shingles = np.unique(shingles_of(words))
+    bits = _mixed(shingles) & np.uint64(64 * PARITIES - 1)
+    odd = np.bincount(bits.astype(np.int64), minlength=64 * PARITIES) & 1
+    return len(shingles), np.packbits(odd.astype(np.uint8)).view(np.int64).tolist()
+
+
 def aligned_words(a: np.ndarray, b: np.ndarray, band: int) -> int:
     """Length of the longest common subsequence of words whose matches lie within ``band`` of the diagonal.
 
@@ -166,8 +182,11 @@ def _sketched(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _longer(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        entries = [sketch(words_of(t), *LONG, 2) for t in batch.column(3).to_pylist()]
-        yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(entries, pa.list_(pa.int64()))], names=["node", "root", "size", "entries"])
+        words = [words_of(t) for t in batch.column(1).to_pylist()]
+        entries = [sketch(w, *LONG, 2) for w in words]
+        number, parities = zip(*map(outline, words), strict=True) if words else ((), ())
+        columns = [pa.array(number, pa.int32()), pa.array(parities, pa.list_(pa.int64())), pa.array(entries, pa.list_(pa.int64()))]
+        yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=["node", "shingles", "parities", "entries"])
 
 
 def _verified(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -215,19 +234,44 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     roots = components(links)
     placed = _with_roots(members.select("node", "entry"), roots)
     mixed = placed.groupBy("entry").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
-    unsettled = staged(placed.join(mixed.select("entry"), "entry", "left_semi").select("node", "root").distinct(), "unsettled")
-    sized = unsettled.join(unsettled.groupBy("root").agg(F.count("*").alias("size")), "root").select("node", "root", "size")
-    longer = sized.join(texts, "node").select("node", "root", "size", "text").mapInArrow(_longer, "node long, root long, size long, entries array<long>")
-    again = staged(longer.select("node", "root", "size", F.explode("entries").alias("entry")), "members")
-    # One text of each class in a bucket stands for it; of a bucket with a single class nothing is compared.
-    head = F.min(F.struct(F.xxhash64("node", "entry"), "node", "size")).alias("h")
-    heads = again.groupBy("entry", "root").agg(head).select("entry", F.col("root").alias("head_root"), F.col("h.size").alias("head_size"), "h.node")
-    several = heads.groupBy("entry").agg(F.min("head_root").alias("low"), F.max("head_root").alias("high")).where("low <> high").select("entry")
-    heads = staged(heads.join(several, "entry", "left_semi").select("entry", "head_root", "head_size", F.col("node").alias("b")), "heads")
-    smaller = F.struct("size", "root") < F.struct(F.col("head_size").alias("size"), F.col("head_root").alias("root"))
-    further = again.join(heads, [again["entry"] == heads["entry"], smaller]).select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b")).distinct()
-    more = staged(_links(further, texts), "links")
-    return _classes(table, folded, components(links.union(more)))
+    unsettled = placed.join(mixed.select("entry"), "entry", "left_semi").select("node").distinct()
+    longer = texts.join(unsettled, "node", "left_semi").select("node", "text").mapInArrow(_longer, "node long, shingles int, parities array<long>, entries array<long>")
+    longer = staged(longer, "longer")
+    entries = longer.select("node", F.explode("entries").alias("entry"))
+    met = entries.groupBy("entry").agg(F.count("*").alias("n")).where("n > 1").select("entry")
+    again = staged(entries.join(met, "entry", "left_semi"), "members")
+    placed = staged(_in_mixed_buckets(_with_roots(again, roots)), "mixed")
+    towards = placed.where("root <> top").select(F.least("node", "head").alias("a"), F.greatest("node", "head").alias("b")).distinct()
+    links = staged(links.union(_links(towards, texts)), "links")
+    rest = staged(_pairs_between_classes(_with_roots(again, components(links)), longer), "pairs")
+    links = staged(links.union(_links(rest, texts)), "links")
+    return _classes(table, folded, components(links))
+
+
+def _in_mixed_buckets(placed: DataFrame) -> DataFrame:
+    """The rows (entry, node, root) of buckets with several classes; ``top`` has most texts there, ``head`` is one of them."""
+    one = F.min(F.struct(F.xxhash64("node", "entry"), "node")).alias("one")
+    classes = placed.groupBy("entry", "root").agg(F.count("*").alias("n"), one)
+    top = F.max_by(F.struct("root", "one.node"), F.struct("n", -F.col("root"))).alias("top")
+    buckets = classes.groupBy("entry").agg(F.count("*").alias("classes"), top).where("classes > 1")
+    return placed.join(buckets.select("entry", F.col("top.root").alias("top"), F.col("top.node").alias("head")), "entry")
+
+
+def _pairs_between_classes(placed: DataFrame, outlines: DataFrame) -> DataFrame:
+    """All pairs (a, b) that share a bucket but no class and may be alike by their outlines.
+
+    Texts of a bucket's largest class are not paired with each other, so one large class costs nothing by itself.
+    """
+    flat = outlines.select("node", "shingles", *(F.col("parities")[i].alias(f"p{i}") for i in range(PARITIES)))
+    mixed = staged(_in_mixed_buckets(placed).drop("head").join(flat, "node"), "mixed")
+    x, y = mixed.where("root <> top").alias("x"), mixed.alias("y")
+    differ = " + ".join(f"bit_count(x.p{i} ^ y.p{i})" for i in range(PARITIES))
+    # Of two texts with m and n shingles and a similarity of 0.8, (m + n) / 9 shingles are not in both.
+    within = F.expr(f"9 * ({differ}) <= x.shingles + y.shingles")
+    once = F.expr("x.root <> y.root AND (y.root = y.top OR x.node < y.node)")
+    sizes = F.expr("5 * least(x.shingles, y.shingles) >= 4 * greatest(x.shingles, y.shingles)")
+    met = x.join(y, (F.col("x.entry") == F.col("y.entry")) & once & sizes & within)
+    return met.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
 
 
 def _classes(table: DataFrame, folded: DataFrame, roots: DataFrame | None) -> DataFrame:

@@ -91,3 +91,41 @@ def test_components(spark):
     links = [(i, i + 1) for i in range(30)] + [(100, 99), (99, 101), (7, 7)]
     got = {r.node: r.root for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert got == {**{i: 0 for i in range(31)}, 99: 99, 100: 99, 101: 99}
+
+
+def large_family():
+    """A family of 500, of which y-texts are alike to one member only, that is alike to all the others."""
+    rng = random.Random(4)
+    x = [f"x{i}" for i in range(274)]
+    rows = [(1, " ".join(x))]
+    for i in range(500):
+        words = [*x, "tail"]
+        words[rng.randrange(274)] = f"m{i}"
+        rows.append((100 + i, " ".join(words)))
+    for i in range(8):
+        words = list(x)
+        for place in range(10 + i, 270, 44):
+            words[place] = f"y{i}x{place}"
+        rows.append((1000 + i, " ".join(words)))
+    return rows
+
+
+def test_members_of_a_large_class_meet_texts_of_small_ones(spark):
+    rows = large_family()
+    words = {i: om.words_of(t) for i, t in rows}
+    for y in range(1000, 1008):
+        assert [i for i in words if i != y and om.alike(words[i], words[y])] == [1]
+    assert all(om.alike(words[1], words[i]) for i in range(100, 600))
+    out = om.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(5)).collect()
+    assert [r.doc_id for r in out if r.class_id != 1] == []
+
+
+def test_outlines_are_bounds():
+    rng = random.Random(5)
+    for _ in range(300):
+        a = [f"v{rng.randrange(400)}" for _ in range(rng.randrange(1, 300))]
+        b = [w if rng.random() < 0.97 else "other" for w in a]
+        (m, p), (n, q) = om.outline(x := om.words_of(" ".join(a))), om.outline(y := om.words_of(" ".join(b)))
+        apart = sum(((i ^ j) & (1 << 64) - 1).bit_count() for i, j in zip(p, q, strict=True))
+        assert apart <= len(np.setxor1d(om.shingles_of(x), om.shingles_of(y)))
+        assert 9 * apart <= m + n or not om.alike(x, y)
