@@ -33,9 +33,13 @@ from tallyloom.shared_folder import staged
 
 WORDS = 5
 SIMILARITY = 0.8
-#: (shingles in an entry, entries): a pair at the threshold is missed once in 100,000 and once in 10,000 times.
+#: (shingles in an entry, entries): a pair at the threshold is missed 3 times in 100,000 at most.
 SHORT = (3, 16)
-LONG = (12, 128)
+#: Texts below so many shingles have twice as many short entries; a pair of 4 and 5 would be missed once in 3,500 times.
+FEW = 24
+#: From so many shingles on (shingles in an entry, entries); a pair at the threshold, of any length, is missed once in
+#: 10,000 times at most.  A pair of texts meets in the tier of the shorter one.
+LONG = [(0, 3, 32), (FEW, 6, 64), (96, 12, 160)]
 #: Entries that are computed at a time; bounds memory for long texts.
 LANES = 16
 #: Longs of parities of shingles.
@@ -112,6 +116,19 @@ def sketch(words: np.ndarray, length: int, entries: int, seed: int) -> np.ndarra
     return out.view(np.int64)
 
 
+def short_entries(words: np.ndarray) -> np.ndarray:
+    length, entries = SHORT
+    return sketch(words, length, entries if len(words) - WORDS + 1 >= FEW else 2 * entries, 1)
+
+
+def long_entries(words: np.ndarray) -> np.ndarray:
+    """Entries of the tiers of all texts that are not longer and may be alike, these having 0.8 of the words at least."""
+    n = max(1, len(words) - WORDS + 1)
+    ends = [first for first, _, _ in LONG[1:]] + [np.inf]
+    tiers = [tier for tier, end in zip(LONG, ends, strict=True) if tier[0] <= n and SIMILARITY * n - 1 < end]
+    return np.concatenate([sketch(words, length, entries, 2 + length) for _, length, entries in tiers])
+
+
 def outline(words: np.ndarray) -> tuple[int, list[int]]:
     """Number of the distinct shingles of a text, and the parities of how many of them fall on each bit.
 
@@ -173,7 +190,7 @@ def _sketched(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for text in batch.column(2).to_pylist():
             words = words_of(text)
             digests.append(xxhash.xxh128_digest(words.tobytes()))
-            entries.append(sketch(words, *SHORT, 1))
+            entries.append(short_entries(words))
         yield pa.RecordBatch.from_arrays(
             [*batch.columns, pa.array(digests, pa.binary()), pa.array(entries, pa.list_(pa.int64()))],
             names=["row_id", "doc_id", "text", "digest", "entries"],
@@ -183,7 +200,7 @@ def _sketched(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _longer(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         words = [words_of(t) for t in batch.column(1).to_pylist()]
-        entries = [sketch(w, *LONG, 2) for w in words]
+        entries = [long_entries(w) for w in words]
         number, parities = zip(*map(outline, words), strict=True) if words else ((), ())
         columns = [pa.array(number, pa.int32()), pa.array(parities, pa.list_(pa.int64())), pa.array(entries, pa.list_(pa.int64()))]
         yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=["node", "shingles", "parities", "entries"])

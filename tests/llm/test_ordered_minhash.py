@@ -129,3 +129,51 @@ def test_outlines_are_bounds():
         apart = sum(((i ^ j) & (1 << 64) - 1).bit_count() for i, j in zip(p, q, strict=True))
         assert apart <= len(np.setxor1d(om.shingles_of(x), om.shingles_of(y)))
         assert 9 * apart <= m + n or not om.alike(x, y)
+
+
+def short_pairs():
+    """Pairs of 5 to 40 words near the threshold, in three groups of a common template each."""
+    rng = random.Random(6)
+    rows = []
+    for i in range(400):
+        n = rng.randrange(5, 41)
+        words = [f"t{i % 3}w{j}" if j % 3 else f"p{i}w{j}" for j in range(n)]
+        other = list(words)
+        for _ in range(rng.randrange(1, 3)):
+            at = rng.choice([0, len(other)])
+            other.insert(at, f"q{i}")
+            if rng.random() < 0.3:
+                other.pop(0 if at else -1)
+        rows += [(2 * i, " ".join(words)), (2 * i + 1, " ".join(other))]
+    return rows
+
+
+def test_short_texts_meet_in_long_entries():
+    rows = short_pairs()
+    words = [om.words_of(t) for _, t in rows]
+    alike = [(a, b) for a, b in zip(words[::2], words[1::2], strict=True) if om.alike(a, b)]
+    assert len(alike) > 150 and min(len(a) for a, _ in alike) < 10
+    for entries in (om.short_entries, om.long_entries):
+        assert [(len(a), len(b)) for a, b in alike if not set(entries(a)) & set(entries(b))] == []
+
+
+def test_miss_rates_of_entries():
+    """At the threshold: of m and n shingles c are common, and an entry is equal if its shingles all are."""
+    from math import ceil, comb
+
+    for m in range(1, 400):
+        for n in range(m, int(m / 0.8) + 1):
+            c = ceil(round(0.8 / 1.8 * (m + n), 9))
+            if c > m:
+                continue
+            union = m + n - c
+            equal = lambda k: comb(c, k) / comb(union, k) if m > k else float(c == union) if n <= k else 0  # noqa: E731, B023
+            _, length, entries = [tier for tier in om.LONG if tier[0] <= m][-1]
+            assert c == union or (1 - equal(length)) ** entries < 1e-4
+            assert c == union or (1 - equal(3)) ** (32 if n < om.FEW else 16) < 3e-5
+
+
+def test_short_classes(spark):
+    rows = short_pairs()[:300]
+    out = om.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(5)).collect()
+    assert sorted(((r.doc_id, r.class_id, r.class_size) for r in out), key=repr) == brute(rows)
