@@ -47,6 +47,7 @@ SENTENCES = [
     ("bsd-2-line", "licensed under the bsd 2 clause license"),
     ("bsd-3-line", "licensed under the bsd 3 clause license"),
     ("mpl-2-terms", "this source code form is subject to the terms of the mozilla public license v 2 0"),
+    ("mpl-2-terms", "this source code form is subject to the terms of the mozilla public license v"),  # a sentence ends after "v."
     ("cc0-line", "licensed under cc0 1 0"),
     ("cc-by-line", "licensed under cc by 4 0"),
     ("cc-by-sa-line", "licensed under cc by sa 4 0"),
@@ -89,8 +90,46 @@ RULES = [
     ("proprietary", "copyright|all-rights"),
 ]
 
+#: The names of a licence in a line such as "This software is released under the MIT License".
+NAMES = {
+    "mit-release": ["mit license", "mit"],
+    "isc-line": ["isc license"],
+    "apache-2-line": ["apache license version 2 0", "apache license 2 0", "apache license v2 0", "apache 2 0 license", "apache 2 0"],
+    "gpl-3-line": ["gnu general public license version 3", "gnu general public license version 3 0", "gnu general public license v3 0", "gnu general public license v3", "gnu gpl v3", "gpl v3", "gplv3", "gpl 3 0"],
+    "gpl-2-line": ["gnu general public license version 2", "gnu general public license version 2 0", "gnu general public license v2 0", "gnu general public license v2", "gnu gpl v2", "gpl v2", "gplv2", "gpl 2 0"],
+    "lgpl-3-line": ["gnu lesser general public license version 3", "gnu lesser general public license version 3 0", "gnu lesser general public license v3 0", "gnu lgpl v3", "lgpl v3", "lgplv3", "lgpl 3 0"],
+    "agpl-3-line": ["gnu affero general public license version 3", "gnu affero general public license version 3 0", "gnu affero general public license v3 0", "gnu agpl v3", "agpl v3", "agplv3", "agpl 3 0"],
+    "bsd-2-line": ["bsd 2 clause license", "2 clause bsd license", "bsd 2 clause"],
+    "bsd-3-line": ["bsd 3 clause license", "3 clause bsd license", "bsd 3 clause"],
+    "mpl-2-line": ["mozilla public license version 2 0", "mozilla public license 2 0", "mozilla public license v2 0", "mpl 2 0"],
+    "cc0-line": ["cc0 1 0", "cc0 1 0 universal", "creative commons zero v1 0 universal license"],
+} | {
+    f"cc-{short.replace(' ', '-')}-line": [f"cc {short} 4 0", f"cc {short} 4 0 license", *(f"creative commons {long} 4 0 {end}" for end in ("license", "international license", "international"))]
+    for short, long in [("by", "attribution"), ("by sa", "attribution sharealike"), ("by nc", "attribution noncommercial"), ("by nc sa", "attribution noncommercial sharealike"), ("by nd", "attribution noderivatives")]
+}
+_SUBJECTS = ["", *(f"{a} {b} is " for a in ("this", "the") for b in ("work", "project", "software", "program", "library", "package", "code", "source code", "file", "repository", "module", "document"))]
+_VERBS = ("licensed under", "released under", "distributed under", "available under", "made available under", "licensed under the terms of", "released under the terms of", "distributed under the terms of")
+_lines = [(sid, f"{subject}{verb} {article}{name}") for sid, names in NAMES.items() for name in names for subject in _SUBJECTS for verb in _VERBS for article in ("", "the ", "a ")]
+_listed = {words for _, words in SENTENCES}
+SENTENCES += [(sid, words) for sid, words in _lines if words not in _listed]
+RULES += [("ISC", "isc-line"), ("MPL-2.0", "mpl-2-line")]
+
+#: SPDX identifiers in normal form and their licences.
+SPDX = {
+    "mit": "MIT", "isc": "ISC", "apache 2 0": "Apache-2.0", "bsd 2 clause": "BSD-2-Clause", "bsd 3 clause": "BSD-3-Clause", "mpl 2 0": "MPL-2.0", "cc0 1 0": "CC0-1.0",
+    "gpl 2 0": "GPL-2.0", "gpl 2 0 only": "GPL-2.0", "gpl 2 0 or later": "GPL-2.0-or-later", "gpl 3 0": "GPL-3.0", "gpl 3 0 only": "GPL-3.0", "gpl 3 0 or later": "GPL-3.0-or-later",
+    "lgpl 3 0": "LGPL-3.0", "lgpl 3 0 only": "LGPL-3.0", "agpl 3 0": "AGPL-3.0", "agpl 3 0 only": "AGPL-3.0",
+    "cc by 4 0": "CC-BY-4.0", "cc by sa 4 0": "CC-BY-SA-4.0", "cc by nc 4 0": "CC-BY-NC-4.0", "cc by nc sa 4 0": "CC-BY-NC-SA-4.0", "cc by nd 4 0": "CC-BY-ND-4.0",
+}
+#: A sentence ends after "SPDX-License-Identifier: ", so the identifier is one of its own.
+SENTENCES += [("spdx", "spdx license identifier")]
+for _id, _licence in SPDX.items():
+    _sid = f"spdx-{_id.replace(' ', '-')}"
+    SENTENCES += [(_sid, _id), (f"{_sid}-line", f"spdx license identifier {_id}")]
+    RULES += [(_licence, f"spdx|{_sid}"), (_licence, f"{_sid}-line")]
+
 #: Every known sentence holds one of these; a text without any of them needs no cutting.
-CUES = "(?i)licen[cs]e|copyright|permission|warrant|liab|reserved|free software|redistribut"
+CUES = "(?i)licen[cs]e|copyright|permission|warrant|liab|reserved|free software|redistribut|(?<![a-z0-9])(mit|isc|apache|bsd|mpl|[al]?gpl(v[23])?|cc0?)(?![a-z0-9])|creative commons"
 
 
 def _normal(sentence: Column) -> Column:

@@ -42,3 +42,36 @@ def test_scan(spark):
 def test_no_python(spark, plan):
     text = plan(licences.scan(spark.createDataFrame([(1, "a")], "doc_id long, text string")))
     assert "Python" not in text and "Arrow" not in text and "Pandas" not in text
+
+
+MPL = """/* This Source Code Form is subject to the terms of the Mozilla Public
+ * License, v. 2.0. If a copy of the MPL was not distributed with this
+ * file, You can obtain one at https://mozilla.org/MPL/2.0/. */
+int x;
+"""
+
+
+def test_real_headers(spark):
+    want = {
+        MPL: "MPL-2.0", "x = 1\nThis software is released under the MIT License.\n": "MIT", "// SPDX-License-Identifier: MIT\nint x;": "MIT",
+        "# SPDX-License-Identifier: GPL-2.0-or-later": "GPL-2.0-or-later", "SPDX-License-Identifier:Apache-2.0": "Apache-2.0",
+        "This work is licensed under the MIT License.": "MIT", "This work is licensed under the Apache License, Version 2.0.": "Apache-2.0",
+        "This work is licensed under CC BY-SA 4.0.": "CC-BY-SA-4.0", "This library is distributed under the GNU Lesser General Public License, version 3.": "LGPL-3.0",
+        "This work is licensed under a Creative Commons Attribution 4.0 International License.": "CC-BY-4.0", "Released under CC BY 4.0.": "CC-BY-4.0",
+        "The code is available under the BSD 3-Clause License.": "BSD-3-Clause", "Released under the ISC License.": "ISC", "Wir gehen mit. MIT is a school.": "",
+    }
+    docs = spark.createDataFrame(list(enumerate(want)), "doc_id long, text string")
+    got = {r.doc_id: r.licences for r in licences.scan(docs).collect()}
+    assert [got[i] for i in range(len(want))] == list(want.values())
+    assert len({words for _, words in licences.SENTENCES}) == len(licences.SENTENCES)
+
+
+def test_real_headers_as_in_sql(spark):
+    import duckdb
+
+    docs = [(i, t) for i, t in enumerate([MPL, MIT, "_MIT_", "Released under CC BY 4.0. cc-by-4.0", "SPDX-License-Identifier: MIT", "distributed under gplv3"])]
+    db = duckdb.connect()
+    db.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    db.executemany("INSERT INTO documents VALUES (?, ?)", docs)
+    out = licences.scan(spark.createDataFrame(docs, "doc_id long, text string"))
+    assert sorted(map(tuple, out.collect())) == sorted(db.execute(licences.SQL).fetchall())
