@@ -5,7 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import bpe, chat, cuckoo, learned_ann, licences, ordered_minhash, packing, suffixes, toxicity, warc
+from tallyloom.llm import (
+    bpe,
+    chat,
+    cuckoo,
+    learned_ann,
+    licences,
+    ordered_minhash,
+    packing,
+    periodic,
+    quality,
+    resampling,
+    suffixes,
+    toxicity,
+    warc,
+)
 from tallyloom.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
 from tallyloom.shared_folder import staged
 
@@ -78,3 +92,21 @@ def op1_ordered_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_learned_ann")
 def op3_learned_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return learned_ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+@query("op11_quality")
+def op11_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    known = table(spark, sf_dir, "labels").where(~quality.held_out())
+    model = quality.train(quality.labelled_texts(docs, known, "quality"))
+    return quality.score_documents(docs, model).select("doc_id", quality.held_out().alias("held_out"), "score", "predicted")
+
+
+@query("op12_resampling", resampling.SQL)
+def op12_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op13_periodic", periodic.SQL)
+def op13_periodic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.periodic_runs(table(spark, sf_dir, "documents"), periodic.planted_period)
