@@ -94,7 +94,7 @@ def _replace_sink(spark, sf_dir):
     write = stores.replace_sink(path)
     for n, batch in _customer_batches(spark, sf_dir):
         write(batch, n)
-    return spark.read.parquet(path)
+    return stores.read_replaced(spark, path)
 
 
 @query(

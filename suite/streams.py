@@ -24,6 +24,8 @@ from suite.windows import (
     AD_STATE_SQL,
     CELLS,
     DYNAMIC,
+    HOUR,
+    TOP_WINDOWS,
     TOTALS,
     message_columns,
     topic_messages,
@@ -171,6 +173,50 @@ def _ad_click_plan_running(spark, sf_dir):
     return ad_plan.province_ranking(spark, root)
 
 
+@query(
+    "ad_click_window_running",
+    with_ctes(AD_CLICKS, window_cte("w", "ad_clicks", "ad_id", 10 * HOUR, HOUR))
+    + """, over AS (SELECT *, max(window_start) OVER () AS newest FROM w
+           WHERE window_end <= (SELECT max(ts) - INTERVAL 10 MINUTE FROM ad_clicks))
+         SELECT strftime(window_start, '%Y/%m/%d %H:%M:%S') AS window_start, strftime(window_end, '%Y/%m/%d %H:%M:%S') AS window_end,
+                ad_id, count(*) AS click_count FROM over WHERE window_start = newest GROUP BY ALL""",
+)
+def _ad_click_window_running(spark, sf_dir):
+    """The target holds one window: the newest that was over by the watermark."""
+    root = new_path(spark, "recent")
+    ad_plan.start_recent_clicks(ad_click_stream(spark, sf_dir), root, new_path(spark, "recent-checkpoint"), ("10 hours", "1 hour")).awaitTermination()
+    return ad_plan.recent_clicks(spark, root)
+
+
+@query(
+    "province_top5_running",
+    with_ctes(AD_CLICKS)
+    + """, counted AS (SELECT strftime(ts, '%Y%m%d') AS date, province, ad_id, count(*) AS click_count, max(ts) AS last
+           FROM ad_clicks GROUP BY ALL),
+         live AS (SELECT * FROM counted WHERE last >= (SELECT max(ts) - INTERVAL 4 DAY FROM ad_clicks))
+         SELECT date, province, CAST(r - 1 AS INTEGER) AS rank, ad_id, click_count FROM (
+           SELECT *, row_number() OVER (PARTITION BY date, province ORDER BY click_count DESC, ad_id) AS r FROM live) WHERE r <= 5""",
+)
+def _province_top5_running(spark, sf_dir):
+    """Ads leave the ranking after four days, so most ranks that earlier batches wrote are taken back."""
+    root = new_path(spark, "top5")
+    ad_plan.start_province_top5(ad_click_stream(spark, sf_dir), root, new_path(spark, "top5-checkpoint"), idle="4 days").awaitTermination()
+    return ad_plan.province_top5(spark, root)
+
+
+@query(
+    "window_top5_running",
+    TOP_WINDOWS + " AND window_end <= (SELECT max(o_orderdate)::TIMESTAMP - INTERVAL 10 MINUTE FROM orders)",
+)
+def _window_top5_running(spark, sf_dir):
+    """Two aggregations in a row on the stream itself; nothing is read back before the end."""
+    path = new_path(spark, "window-top")
+    order_plan.start_window_top(
+        order_stream(spark, sf_dir), path, new_path(spark, "window-top-checkpoint"), "20 days", "8 days"
+    ).awaitTermination()
+    return _plain(spark.read.parquet(path).drop(stores.BATCH), "window_start", "window_end")
+
+
 @query("ad_click_state_running", AD_STATE_SQL)
 def _ad_click_state_running(spark, sf_dir):
     counts = state.ad_click_state(ad_click_stream(spark, sf_dir))
@@ -218,6 +264,56 @@ def _resume_from_checkpoint(spark, sf_dir):
     return stores.read_upserted(spark, path, ["province_id"])
 
 
+@query("totals_after_new_checkpoint", TOTALS)
+def _totals_after_new_checkpoint(spark, sf_dir):
+    """The checkpoint is lost after one part of the orders: totals go on from those in the store."""
+    path = new_path(spark, "totals")
+    rows = with_instant(order_columns(table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer")))
+    early = F.col("ts") < "1997-01-01"
+    for generation, part in enumerate((rows.filter(early), rows.filter(~early | F.col("ts").isNull()))):
+        inbox = new_path(spark, "inbox")
+        part.repartition(3).write.parquet(inbox)
+        arriving = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(inbox)
+        checkpoint = new_path(spark, "totals-checkpoint")
+        order_plan.start_totals(arriving, path, checkpoint, generation=generation).awaitTermination()
+    return stores.read_upserted(spark, path, ["province_id"])
+
+
+@query(
+    "upsert_compacted",
+    """SELECT o_custkey, count(*) AS orders, max(o_orderkey) AS newest FROM orders
+       WHERE o_orderkey % 30 = (SELECT max(o.o_orderkey % 30) FROM orders o WHERE o.o_custkey = orders.o_custkey) GROUP BY o_custkey""",
+)
+def _upsert_compacted(spark, sf_dir):
+    """Thirty batches; the store merges them as they come."""
+    path = new_path(spark, "compacted")
+    rows = table(spark, sf_dir, "orders")
+    write = stores.upsert_sink(path, ["o_custkey"])
+    for n in range(30):
+        part = rows.where(F.col("o_orderkey") % 30 == n)
+        write(part.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("orders"), F.max("o_orderkey").alias("newest")), n)
+    return stores.read_upserted(spark, path, ["o_custkey"])
+
+
+@query(
+    "topic_log_running",
+    """SELECT CAST(o_orderkey AS VARCHAR) AS "key",
+       strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') || ',' || o_custkey AS "value" FROM orders""",
+)
+def _topic_log_running(spark, sf_dir):
+    """Every batch is sent twice, as after a failure before the checkpoint; its messages are there once."""
+    path = new_path(spark, "topic-log")
+    send = stores.topic_log_sink(path, "o_orderkey", ["at", "o_custkey"])
+
+    def twice(batch, n):
+        send(batch, n)
+        send(batch, n)
+
+    rows = stream(spark, sf_dir, "orders").withColumn("at", F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss"))
+    run_to_end(rows, twice, new_path(spark, "topic-log-checkpoint"), "append")
+    return stores.read_topic(spark, path)
+
+
 _PRICES = """SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 0 THEN -o_totalprice ELSE o_totalprice END AS price,
                     CAST(o_orderkey % 2 = 0 AS INTEGER) AS run FROM orders"""
 

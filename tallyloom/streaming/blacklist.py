@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.operators.joins import blacklist_broadcast_filter, whitelist_exclusion
-from tallyloom.sinks.stores import batch_path, read_set, set_sink
+from tallyloom.sinks.stores import read_set, set_sink
 
 
 def blacklist_sink(
@@ -52,19 +52,3 @@ def filtered_batches(
         sink(filter_blacklisted_stream(batch, black, key), batch_id)
 
     return write
-
-
-def count_sink(
-    path: str, keys: list[str], count: str = "click_count", generation: int = 0
-) -> Callable[[DataFrame, int], None]:
-    """Counts of each batch by key, in the folder of its id; the totals are their sum."""
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        counted = batch.groupBy(*keys).agg(F.count(F.lit(1)).alias(count))
-        counted.write.mode("overwrite").parquet(batch_path(path, batch_id, generation))
-
-    return write
-
-
-def read_counts(spark, path: str, keys: list[str], count: str = "click_count") -> DataFrame:
-    return spark.read.parquet(path).groupBy(*keys).agg(F.sum(count).alias(count))

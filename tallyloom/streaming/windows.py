@@ -143,6 +143,36 @@ def window_top5_provinces(
     return top_of_windows(window_order_count(df, ts, size, slide, province, lateness), province, n)
 
 
+def window_top_stream(
+    df: DataFrame,
+    ts: str = "ts",
+    size: str = "20 seconds",
+    slide: str = "8 seconds",
+    n: int = 5,
+    province: str = "province_id",
+    lateness: str = LATENESS,
+) -> DataFrame:
+    """The same of a stream, each window once, when the watermark has passed it.  Run it in ``append`` mode.
+
+    Two stateful aggregations in a row: counts by window and province, and then the counts of a window that is over.
+    The second sees one row for each province and window, never the rows themselves; its windows are as long as the
+    slide and end where those of the first end, so each holds exactly one of them.
+    """
+    counted = watermarked(df.select(ts, province), ts, lateness).groupBy(F.window(ts, size, slide), province).agg(F.count(F.lit(1)).alias("cnt"))
+    step, offset = milliseconds(slide), milliseconds(size) % milliseconds(slide)
+    closing = F.window(F.window_time("window"), f"{step} milliseconds", f"{step} milliseconds", f"{offset} milliseconds")
+    entry = F.struct((-F.col("cnt")).alias("less"), F.col(province).alias("who"), F.col("window").alias("span"))
+    first = F.slice(F.sort_array(F.collect_list(entry)), 1, n)
+    ranked = counted.groupBy(closing.alias("closing")).agg(first.alias("first")).select(F.posexplode("first").alias("place", "e"))
+    return ranked.select(
+        F.col("e.span.start").alias("window_start"),
+        F.col("e.span.end").alias("window_end"),
+        F.col("e.who").alias(province),
+        (-F.col("e.less")).alias("cnt"),
+        (F.col("place") + 1).alias("rank"),
+    )
+
+
 def dynamic_blacklist(
     df: DataFrame,
     white: DataFrame,

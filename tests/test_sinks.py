@@ -41,7 +41,7 @@ def test_replacing(spark, tmp_path, rows):
     for n, batch in enumerate([[("a", 1), ("b", 1)], [("b", 2)]]):
         stores.replace_sink(whole)(frame(spark, batch), n)
         stores.replace_partition_sink(parts, "k")(frame(spark, batch), n)
-    assert rows(spark.read.parquet(whole)) == [("b", 2)]
+    assert rows(stores.read_replaced(spark, whole)) == [("b", 2)]
     assert rows(spark.read.parquet(parts).select("k", "v")) == [("a", 1), ("b", 2)]
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from tallyloom.plans import ad_clicks as ad_plan
 from tallyloom.plans import orders as order_plan
 from tallyloom.sinks import stores
-from tallyloom.streaming import blacklist, ingest, state, windows
+from tallyloom.streaming import ingest, state, windows
 from tallyloom.streaming.runner import run_to_end
 
 START = dt.datetime(2018, 10, 8, 12, 0, 0, tzinfo=dt.timezone.utc)
@@ -100,12 +100,12 @@ def test_listed_users_stay_out_of_later_batches(spark, tmp_path, rows):
 
 
 def test_counts_of_a_batch_that_is_run_again(spark, tmp_path, rows):
-    write = blacklist.count_sink(str(tmp_path / "s"), ["k"])
+    write = stores.count_sink(str(tmp_path / "s"), ["k"])
     batch = spark.createDataFrame([("a",), ("a",), ("b",)], "k string")
     write(batch, 0)
     write(batch, 1)
     write(batch, 1)
-    assert rows(blacklist.read_counts(spark, str(tmp_path / "s"), ["k"])) == [("a", 4), ("b", 2)]
+    assert rows(stores.read_counts(spark, str(tmp_path / "s"), ["k"])) == [("a", 4), ("b", 2)]
 
 
 def test_idle_keys_start_again(spark, rows):
