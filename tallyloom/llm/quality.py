@@ -19,6 +19,7 @@ have no doc_id, labelled null texts and other columns are ignored.  Without labe
 
 from __future__ import annotations
 
+import itertools
 import math
 from collections.abc import Iterable, Iterator
 
@@ -104,6 +105,29 @@ def labelled_texts(docs: DataFrame, labels: DataFrame, target: str, max_labelled
     return staged(joined.groupBy("doc_id", "label").agg(one).select(key.alias("key"), "text", "label"), "labelled")
 
 
+def _by_shard(batches: Iterable[pa.RecordBatch]) -> Iterator[Iterator[tuple[list[str], list[int]]]]:
+    """The texts and labels of each shard in turn, a part at a time; a partition holds whole shards, one after the other."""
+
+    def parts() -> Iterator[tuple[int, list[str], list[int]]]:
+        for batch in batches:
+            shards = batch.column("shard").to_numpy()
+            cuts = [0, *(np.flatnonzero(np.diff(shards)) + 1).tolist(), len(shards)]
+            for a, b in itertools.pairwise(cuts):
+                if b > a:
+                    rows = batch.slice(a, b - a)
+                    yield int(shards[a]), rows.column("text").to_pylist(), rows.column("label").to_pylist()
+
+    for _, group in itertools.groupby(parts(), key=lambda part: part[0]):
+        yield ((texts, labels) for _, texts, labels in group)
+
+
+def _steps(parts: Iterable[tuple[list[str], list[int]]], bits: int) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
+    for texts, labels in parts:
+        for a, b in subwords.grouped(texts):
+            for (numbers, share), label in zip(_shares(texts[a:b], bits), labels[a:b], strict=True):
+                yield numbers, share, label
+
+
 def train(
     labelled: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS, rate: float = RATE, bits: int = subwords.BITS, dimensions: int = DIMENSIONS
 ) -> Model | None:
@@ -114,25 +138,23 @@ def train(
     context = labelled.sparkSession.sparkContext
     model = Model.fresh(bits, dimensions)
     passes = max(1, min(MAX_PASSES, STEPS // total))
-    dealt = labelled.repartition(shards, "key").sortWithinPartitions("key", "label")
+    dealt = labelled.withColumn("shard", F.pmod("key", F.lit(shards)))
+    dealt = dealt.repartition(shards, "shard").sortWithinPartitions("shard", "key", "label")
     for turn in range(rounds):
         sent = context.broadcast(model.pack())
         step = rate * (1 - turn / rounds)
 
         def run(batches: Iterable[pa.RecordBatch], sent=sent, step=step) -> Iterator[pa.RecordBatch]:
-            own, n, again = Model.unpack(sent.value, dimensions), 0, []
-            for batch in batches:
-                texts, marks = batch.column("text").to_pylist(), batch.column("label").to_pylist()
-                for a, b in subwords.grouped(texts):
-                    for (numbers, share), label in zip(_shares(texts[a:b], bits), marks[a:b], strict=True):
-                        own.learn(numbers, share, label, step)
-                        n += 1
-                        if passes > 1:
-                            again.append((numbers, share, label))
-            for _ in range(passes - 1):
-                for numbers, share, label in again:
+            for texts in _by_shard(batches):
+                own, n, again = Model.unpack(sent.value, dimensions), 0, []
+                for numbers, share, label in _steps(texts, bits):
                     own.learn(numbers, share, label, step)
-            if n:
+                    n += 1
+                    if passes > 1:
+                        again.append((numbers, share, label))
+                for _ in range(passes - 1):
+                    for numbers, share, label in again:
+                        own.learn(numbers, share, label, step)
                 yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64()), pa.array([own.pack()], pa.binary())], names=["n", "model"])
 
         mean: np.ndarray | float = 0.0
