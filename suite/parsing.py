@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from suite.aggregates import NEW_USERS
 from suite.registry import query
 from suite.tables import (
     ACCESS_LINES,
@@ -31,7 +34,7 @@ from tallyloom.functions import text
 from tallyloom.functions.dates import server_time_to_millis
 from tallyloom.functions.registry import register_functions
 from tallyloom.operators import enrich, parsing
-from tallyloom.plans.event_log import clean_events
+from tallyloom.plans.event_log import load_event_cells, load_events, new_users_of_cells
 from tallyloom.shared_folder import new_path
 
 
@@ -180,22 +183,64 @@ def _event_row_key(spark, sf_dir):
     return parsed.select("event_id", key.alias("row_key"))
 
 
-@query(
-    "event_log_etl",
-    with_ctes(EVENT_LINES)
-    + """SELECT en, count(*) AS events, count(DISTINCT u_ud) AS users, count(browser) AS with_browser,
-         count(ver) AS with_version FROM event_lines WHERE en <> 'e_x' GROUP BY en""",
+# The row key of each line: milliseconds and a checksum of user, member and event name.
+_KEYED_LINES = (
+    _CRC_TABLE
+    + """,
+lines_in_bytes AS (
+  SELECT *, CAST(trunc(CAST(s_time AS DOUBLE) * 1000) AS BIGINT) AS ms,
+         list_transform(string_split(u_ud || u_mid || en, ''), lambda ch: ascii(ch)::BIGINT) AS bytes,
+         167772160 + CAST(split_part(ip, '.', 3) AS BIGINT) * 256 + CAST(split_part(ip, '.', 4) AS BIGINT) AS n
+  FROM event_lines),
+keyed_lines AS (
+  SELECT *, ms || '_' || xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, bytes),
+    lambda crc, b: xor(crc // 256, t[(xor(crc, b) & 255) + 1]))) % 1000000000 AS row_key
+  FROM lines_in_bytes, crc_table)"""
+)
+_ETL_FIELDS = "ip s_time http_host en u_ud u_mid pl ver b_iev country province city browser browser_v os os_v".split()
+EVENT_CELLS = (
+    with_ctes(EVENT_LINES, ADDRESS_RANGES, _KEYED_LINES)
+    + f""", regioned AS (
+           SELECT k.*, '中国' AS country, CASE WHEN lo IS NULL THEN '上海市' ELSE r.province || '省' END AS province,
+                  CASE WHEN lo IS NULL THEN 'unknown' ELSE r.city || '市' END AS city
+           FROM keyed_lines k LEFT JOIN ranges r ON n BETWEEN lo AND hi WHERE en <> 'e_x'),
+         cells AS (
+           SELECT row_key AS rowkey, 'info' AS family, unnest({_ETL_FIELDS}) AS qualifier,
+                  unnest([{", ".join(_ETL_FIELDS)}]) AS "value" FROM regioned)
+         SELECT * FROM cells WHERE "value" IS NOT NULL"""
 )
+
+
+@query("event_log_etl", EVENT_CELLS)
 def _event_log_etl(spark, sf_dir):
-    """The whole cleaning job, looked at by event name."""
-    field = F.col("fields")
-    events = clean_events(event_lines(spark, sf_dir).select("value"))
-    return events.groupBy("en").agg(
-        F.count("row_key").alias("events"),
-        F.countDistinct(field["u_ud"]).alias("users"),
-        F.count(field["browser"]).alias("with_browser"),
-        F.count(field["ver"]).alias("with_version"),
-    )
+    """The whole job: lines parsed, cleaned and given regions and agents, and every cell of the day read back."""
+    lines = event_lines(spark, sf_dir).select("value")
+    path = load_events(lines, new_path(spark, "events"), "2024-01-01", address_ranges(spark, sf_dir))
+    return spark.read.parquet(path)
+
+
+@query("event_cells_clustered", EVENT_CELLS.replace("SELECT * FROM cells", "SELECT DISTINCT * FROM cells"))
+def _event_cells_clustered(spark, sf_dir):
+    """The same cells in a table that is clustered by row key: each is there once."""
+    return spark.table(_event_table(spark, sf_dir)).select("rowkey", "family", "qualifier", "value")
+
+
+def _event_table(spark, sf_dir) -> str:
+    name = f"event_logs_{uuid.uuid4().hex}"
+    lines = event_lines(spark, sf_dir).select("value")
+    load_event_cells(lines, name, new_path(spark, "event-cells"), address_ranges(spark, sf_dir), buckets=8)
+    return name
+
+
+@query(
+    "new_users_from_cells",
+    with_ctes(EVENT_LINES, NEW_USERS.replace("FROM event_lines", "FROM (SELECT DISTINCT * EXCLUDE (event_id) FROM event_lines)"))
+    + """SELECT CAST(day AS INTEGER) AS day, platform_dimension, browser_dimension, count(*) AS new_users
+         FROM new_users GROUP BY GROUPING SETS ((1, 2, 3), (1, 2))""",
+)
+def _new_users_from_cells(spark, sf_dir):
+    """New users out of the cells that the loading job wrote, regions and all."""
+    return new_users_of_cells(spark, _event_table(spark, sf_dir))
 
 
 @query(

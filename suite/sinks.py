@@ -127,24 +127,23 @@ def _topic_sink(spark, sf_dir):
     return spark.read.parquet(path)
 
 
-_CELLS = """SELECT CAST(o_orderkey AS VARCHAR) AS rowkey, 'info' AS family,
- unnest(['o_orderstatus', 'o_custkey']) AS qualifier,
- unnest([o_orderstatus, CAST(o_custkey AS VARCHAR)]) AS "value" FROM orders"""
+_COLUMNS = ["o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
+_CELLS = f"""SELECT CAST(o_orderkey AS VARCHAR) AS rowkey, 'info' AS family, unnest({_COLUMNS}) AS qualifier,
+ unnest([{", ".join(f"CAST({c} AS VARCHAR)" for c in _COLUMNS)}]) AS "value" FROM orders"""
 
 
 @query("wide_column_sink", _CELLS)
 def _wide_column_sink(spark, sf_dir):
+    """Every column of every order."""
     path = f"{new_path(spark, 'cells')}/{cells.daily_table('orders', '2015-12-20')}"
-    orders = table(spark, sf_dir, "orders")
-    cells.wide_column_sink(orders, "o_orderkey", "info", path, ["o_orderstatus", "o_custkey"])
+    cells.wide_column_sink(table(spark, sf_dir, "orders"), "o_orderkey", "info", path)
     return spark.read.parquet(path)
 
 
 @query("sorted_bulk_load", _CELLS)
 def _sorted_bulk_load(spark, sf_dir):
     path = new_path(spark, "bulk")
-    orders = table(spark, sf_dir, "orders")
-    cells.sorted_bulk_load(orders, "o_orderkey", path, columns=["o_orderstatus", "o_custkey"])
+    cells.sorted_bulk_load(table(spark, sf_dir, "orders"), "o_orderkey", path)
     return spark.read.parquet(path)
 
 

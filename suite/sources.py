@@ -10,7 +10,7 @@ from suite.registry import query
 from suite.tables import EMPLOYEES, PRODUCTS, employees, products, table, visits
 from tallyloom import schemas
 from tallyloom.shared_folder import new_path
-from tallyloom.sinks.cells import wide_column_sink
+from tallyloom.sinks.cells import clustered_cells, to_cells, wide_column_sink
 from tallyloom.sinks.files import document_sink, write_csv, write_text
 from tallyloom.sources import catalog, files, jdbc
 
@@ -110,7 +110,7 @@ def _load_months(spark, sf_dir) -> str:
     rows = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_quantity", F.date_format("l_shipdate", "yyyy-MM").alias("month")
     )
-    catalog.load_partitioned_table(rows, name, "month", path=new_path(spark, "months"), files_per_value=1)
+    catalog.load_partitioned_table(rows, name, "month", path=new_path(spark, "months"), files_per_value=4)
     return name
 
 
@@ -135,6 +135,18 @@ def _read_wide_column(spark, sf_dir):
     return catalog.read_wide_column(spark, path, "info", ["o_orderstatus", "o_custkey"])
 
 
+@query(
+    "read_clustered_cells",
+    """SELECT CAST(o_orderkey AS VARCHAR) AS rowkey, CAST(o_custkey AS VARCHAR) AS o_custkey,
+       CAST(o_totalprice AS VARCHAR) AS o_totalprice FROM orders WHERE o_orderstatus = 'F'""",
+)
+def _read_clustered_cells(spark, sf_dir):
+    """Two columns of the rows that have a certain cell in a third."""
+    name = _table_name("cells")
+    clustered_cells(to_cells(table(spark, sf_dir, "orders"), "o_orderkey"), name, new_path(spark, "cells"), buckets=8)
+    return catalog.read_clustered_cells(spark, name, "info", ["o_custkey", "o_totalprice"], ("o_orderstatus", "F"))
+
+
 @query("scan_columns_filter", "SELECT event_id, user_id FROM events WHERE event_type = 'signup'")
 def _scan_columns_filter(spark, sf_dir):
     events = table(spark, sf_dir, "events")

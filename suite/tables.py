@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyloom.operators.parsing import ACCESS_LOG_PATTERN
 from tallyloom.shared_folder import new_path
 
 AREA_LEVELS = {"AFRICA": "A", "AMERICA": "B", "ASIA": "C", "EUROPE": "D"}
@@ -215,7 +216,7 @@ access_lines AS (
   FROM events),
 matched AS (
   SELECT value, regexp_extract_all(value,
-    '^(\S+) (-|\S+) (-|\S+) \[([\w:/]+\s[+\-]\d{4})\] "(\S+) (\S+) (\S+)" (\d{3}) (\d+)$', 0) AS m
+    '""" + ACCESS_LOG_PATTERN + r"""', 0) AS m
   FROM access_lines),
 access_log AS (
   SELECT p[1] AS ip_address, p[2] AS client_ident, p[3] AS user_id, p[4] AS date_time,
@@ -226,7 +227,7 @@ access_log AS (
             regexp_extract(value, r, 4), regexp_extract(value, r, 5), regexp_extract(value, r, 6),
             regexp_extract(value, r, 7), regexp_extract(value, r, 8), regexp_extract(value, r, 9)] AS p
     FROM (SELECT value,
-      '^(\S+) (-|\S+) (-|\S+) \[([\w:/]+\s[+\-]\d{4})\] "(\S+) (\S+) (\S+)" (\d{3}) (\d+)$' AS r
+      '""" + ACCESS_LOG_PATTERN + r"""' AS r
       FROM matched WHERE len(m) > 0)))"""
 
 _AGENTS = (

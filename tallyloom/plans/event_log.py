@@ -7,11 +7,11 @@ from pyspark.sql import functions as F
 
 from tallyloom.functions.dates import server_time_to_millis
 from tallyloom.functions.text import event_row_key, is_blank
-from tallyloom.operators.aggregates import new_users_both
+from tallyloom.operators.aggregates import LAUNCH, new_users_both
 from tallyloom.operators.enrich import enrich_region, enrich_user_agent
 from tallyloom.operators.parsing import filter_event_types, parse_event_log
-from tallyloom.sinks.cells import daily_table, map_to_cells
-from tallyloom.sources.catalog import read_wide_column
+from tallyloom.sinks.cells import clustered_cells, daily_table, map_to_cells
+from tallyloom.sources.catalog import read_clustered_cells, read_wide_column
 
 TABLE = "event_logs"
 FAMILY = "info"
@@ -54,6 +54,18 @@ def load_events(lines: DataFrame, root: str, date: str, ranges: DataFrame | None
     return path
 
 
+def load_event_cells(
+    lines: DataFrame, name: str, path: str | None = None, ranges: DataFrame | None = None, buckets: int = 64
+) -> None:
+    """Write the cells of one day as a catalog table, clustered by row key; ``name`` and ``path`` are those of the day."""
+    clustered_cells(map_to_cells(clean_events(lines, ranges), "row_key", "fields", FAMILY), name, path, buckets)
+
+
+def new_users_of_cells(spark: SparkSession, name: str) -> DataFrame:
+    """New users of a day that ``load_event_cells`` wrote; only launch events are put together."""
+    return new_users_both(read_clustered_cells(spark, name, FAMILY, NEW_USER_COLUMNS, ("en", LAUNCH)))
+
+
 def new_users(spark: SparkSession, path: str) -> DataFrame:
     """New users of a loaded day by platform, and by platform and browser."""
     return new_users_both(read_wide_column(spark, path, FAMILY, NEW_USER_COLUMNS))

@@ -64,3 +64,26 @@ def sorted_bulk_load(
 ) -> None:
     """Files that follow each other in key order, each sorted, ready for a bulk load."""
     sorted_cells(to_cells(df, rowkey, family, columns), n).write.mode("overwrite").parquet(path)
+
+
+def clustered_cells(cells: DataFrame, name: str, path: str | None = None, buckets: int = 64) -> None:
+    """A catalog table with one folder for each family and qualifier, bucketed and sorted by row key within it.
+
+    A read of some qualifiers opens their folders only, and what is grouped or joined by row key needs no shuffle.  Of a
+    repeated cell the largest value stays.  Every file is written by one task, which has one bucket of one qualifier:
+    a row of very many cells, or a cell that is there very often, is spread or folded before.
+    """
+    place = ["rowkey", "family", "qualifier"]
+    single = cells.groupBy(*place).agg(F.max("value").alias("value"))
+    bucket = F.pmod(F.hash("rowkey"), F.lit(buckets)).alias("bucket")
+    writer = (
+        single.repartition(bucket, "family", "qualifier")
+        .select("rowkey", "value", "family", "qualifier")
+        .write.mode("overwrite")
+        .partitionBy("family", "qualifier")
+        .bucketBy(buckets, "rowkey")
+        .sortBy("rowkey")
+    )
+    if path:
+        writer = writer.option("path", path)
+    writer.saveAsTable(name)

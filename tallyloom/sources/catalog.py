@@ -48,5 +48,26 @@ def read_wide_column(spark: SparkSession, path: str, family: str, columns: list[
     cells = spark.read.parquet(path).filter(
         (F.col("family") == family) & F.col("qualifier").isin(columns)
     )
+    return _pivoted(cells, columns)
+
+
+def _pivoted(cells: DataFrame, columns: list[str]) -> DataFrame:
     picked = [F.max(F.when(F.col("qualifier") == c, F.col("value"))).alias(c) for c in columns]
     return cells.groupBy("rowkey").agg(*picked)
+
+
+def read_clustered_cells(
+    spark: SparkSession, name: str, family: str, columns: list[str], where: tuple[str, str] | None = None
+) -> DataFrame:
+    """The same from a table that ``clustered_cells`` wrote; ``where`` (qualifier, value) keeps rows with that cell.
+
+    The rows that fit are found in the folder of one qualifier, and only their cells are put together.  The table is
+    bucketed by row key, so neither step moves rows.
+    """
+    cells = spark.table(name).where(F.col("family") == family)
+    wanted = cells.where(F.col("qualifier").isin(columns))
+    if where:
+        qualifier, value = where
+        fitting = cells.where((F.col("qualifier") == qualifier) & (F.col("value") == value)).select("rowkey")
+        wanted = wanted.join(fitting, "rowkey", "left_semi")
+    return _pivoted(wanted, columns)

@@ -139,3 +139,23 @@ def test_task_params(spark):
 def test_staging_goes_to_the_shared_folder(spark):
     assert new_path(spark, "x").startswith(shared_folder(spark).rstrip("/"))
     assert staged(spark.range(3), "x").count() == 3
+
+
+def test_clustered_cells(spark, tmp_path, rows, plan):
+    given = [("r1", "info", "en", "e_l"), ("r1", "info", "pl", "web"), ("r2", "info", "en", "e_pv"), ("r2", "info", "pl", "app"),
+             ("r1", "info", "pl", "abc"), ("r3", "info", "en", "e_l"), ("r3", "other", "pl", "x"), (None, "info", "en", "e_l")]
+    given += [("hot", "info", f"q{i}", "v") for i in range(50)] + [("r1", "info", "en", "e_l")] * 200
+    name = "clustered_for_test"
+    df = spark.createDataFrame(given, "rowkey string, family string, qualifier string, value string")
+    cells.clustered_cells(df, name, str(tmp_path / "t"), buckets=4)
+    assert spark.table(name).count() == len(set(given)) - 1, "of a repeated cell the largest value stays"
+    found = catalog.read_clustered_cells(spark, name, "info", ["en", "pl"], ("en", "e_l"))
+    assert rows(found) == [("r1", "e_l", "web"), ("r3", "e_l", None)]
+    assert rows(catalog.read_clustered_cells(spark, name, "info", ["pl"])) == [("r1", "web"), ("r2", "app")]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    text = plan(catalog.read_clustered_cells(spark, name, "info", ["en", "pl"], ("en", "e_l")))
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "Exchange" not in text and text.count("Bucketed: true") == 2
+    assert text.index("LeftSemi") > text.index("Aggregate"), "the condition lies below the pivot"
+    assert "InMemoryFileIndex(2 paths)" in text and "InMemoryFileIndex(1 paths)" in text
+    spark.sql(f"DROP TABLE {name}")
