@@ -12,9 +12,9 @@ from suite.registry import query
 from suite.tables import RATINGS, ratings, table, with_ctes
 from tallyloom.operators import ml
 from tallyloom.operators.parsing import tokenize_lowercase
-from tallyloom.plans.news import classify_news
+from tallyloom.plans.news import classify_news, classify_titles, fit_news, load_news
 from tallyloom.plans.recommend import train_and_score
-from tallyloom.shared_folder import new_path
+from tallyloom.shared_folder import new_path, staged
 
 _LANGUAGES = {"de": 0.0, "en": 1.0, "es": 2.0, "fr": 3.0}
 _ROUNDS = 10
@@ -75,22 +75,46 @@ def _als_factors(spark, sf_dir):
     return sized.join(solved, ["kind", "id"], "left")
 
 
+def _lists(model, best, rows, kind, other):
+    """Of each list: its length, whether its scores are products of factors that fall, and whether it has the best.
+
+    No pair that was rated and is not on the list has a score above that of the last one on it.
+    """
+    mine, theirs = _factors(model, kind, "mine"), _factors(model, other, "theirs")
+    entries = best.select(f"{kind}_id", F.posexplode("recommendations").alias("place", "r")).select(f"{kind}_id", "place", f"r.{other}_id", "r.rating")
+    scored = entries.join(mine, f"{kind}_id").join(theirs, f"{other}_id").withColumn("product", _product("mine", "theirs"))
+    near = F.abs(F.col("rating") - F.col("product")) <= 1e-4 * (1 + F.abs("product"))
+    order = F.array_sort(F.collect_list(F.struct("place", "rating")))["rating"]
+    lists = scored.groupBy(f"{kind}_id").agg(
+        F.count_distinct(f"{other}_id").cast("int").alias("n"), F.every(near).alias("is_product"), order.alias("ratings"), F.min("rating").alias("last")
+    )
+    falls = F.col("ratings") == F.sort_array("ratings", asc=False)
+    pairs = rows.select(f"{kind}_id", f"{other}_id").distinct().join(entries.select(f"{kind}_id", f"{other}_id"), [f"{kind}_id", f"{other}_id"], "left_anti")
+    rest = pairs.join(mine, f"{kind}_id").join(theirs, f"{other}_id").groupBy(f"{kind}_id").agg(F.max(_product("mine", "theirs")).alias("next"))
+    nothing_better = F.coalesce(F.col("next") <= F.col("last") + 1e-4 * (1 + F.abs("last")), F.lit(True))
+    return lists.join(rest, f"{kind}_id", "left").select(f"{kind}_id", "n", "is_product", falls.alias("falls"), nothing_better.alias("has_best"))
+
+
 @query(
     "recommend_for_all_users",
-    with_ctes(RATINGS) + "SELECT user_id, 10 AS n FROM (SELECT DISTINCT user_id FROM ratings)",
+    with_ctes(RATINGS)
+    + """SELECT user_id, CAST(least(10, (SELECT count(DISTINCT item_id) FROM ratings)) AS INTEGER) AS n,
+         true AS is_product, true AS falls, true AS has_best FROM (SELECT DISTINCT user_id FROM ratings)""",
 )
 def _recommend_for_all_users(spark, sf_dir):
-    best = ml.recommend_for_all_users(_train(spark, sf_dir))
-    return best.select("user_id", F.size(F.array_distinct("recommendations.item_id")).alias("n"))
+    model = _train(spark, sf_dir)
+    return _lists(model, ml.recommend_for_all_users(model), ratings(spark, sf_dir), "user", "item")
 
 
 @query(
     "recommend_for_all_items",
-    with_ctes(RATINGS) + "SELECT item_id, 10 AS n FROM (SELECT DISTINCT item_id FROM ratings)",
+    with_ctes(RATINGS)
+    + """SELECT item_id, CAST(least(10, (SELECT count(DISTINCT user_id) FROM ratings)) AS INTEGER) AS n,
+         true AS is_product, true AS falls, true AS has_best FROM (SELECT DISTINCT item_id FROM ratings)""",
 )
 def _recommend_for_all_items(spark, sf_dir):
-    best = ml.recommend_for_all_items(_train(spark, sf_dir))
-    return best.select("item_id", F.size(F.array_distinct("recommendations.user_id")).alias("n"))
+    model = _train(spark, sf_dir)
+    return _lists(model, ml.recommend_for_all_items(model), ratings(spark, sf_dir), "item", "user")
 
 
 @query(
@@ -191,10 +215,65 @@ def _label_index(spark, sf_dir):
     return ml.label_index(_texts(spark, sf_dir), "lang", known).select("doc_id", "label")
 
 
-@query("naive_bayes_classify")
+# A test part that both engines can draw: texts whose digest begins with 0, 1 or 2.
+_TEST_TEXTS = "substr(md5(text), 1, 1) < '3'"
+
+
+@query(
+    "naive_bayes_classify",
+    f"SELECT lang, count(*) AS cnt, true AS weighed FROM documents WHERE {_TEST_TEXTS} GROUP BY lang",
+)
 def _naive_bayes_classify(spark, sf_dir):
+    """Rows of the test part, each with the class that the counts of the training part make the likeliest."""
+    docs = ml.label_index(tokenize_lowercase(_texts(spark, sf_dir), "text"), "lang", _LANGUAGES)
+    features = staged(ml.tfidf_features(docs).select("doc_id", "lang", "label", "features", F.expr(_TEST_TEXTS).alias("is_test")), "features")
+    train, test = features.where("NOT is_test"), features.where("is_test")
+    found = ml.naive_bayes_classify(train, test)
+    entries = lambda df: df.withColumn("f", F.unwrap_udt("features")).select(
+        "doc_id", "lang", "label", F.inline(F.arrays_zip(F.col("f.indices").alias("term"), F.col("f.values").alias("weight")))
+    )
+    sums = entries(train).groupBy("label", "term").agg(F.sum("weight").alias("w"))
+    totals = sums.groupBy("label").agg(F.sum("w").alias("total")).join(train.groupBy("label").agg(F.count("*").alias("n")), "label")
+    totals = staged(totals, "totals")
+    classes, rows = totals.count(), F.lit(train.count())
+    # A class that has not seen a term gives it the same as any such term: what a text loses or gains by the terms it has seen.
+    unseen = F.log(F.col("total") + 100_000)
+    seen = sums.join(totals, "label").select(F.col("label").alias("class"), "term", F.log(F.col("w") + 1).alias("gain"))
+    base = F.log((F.col("n") + 1) / (rows + classes))
+    gains = entries(test).join(seen, "term").groupBy("doc_id", "class").agg(F.sum(F.col("weight") * F.col("gain")).alias("gain"))
+    weights = entries(test).groupBy("doc_id").agg(F.sum("weight").alias("weight"))
+    each = found.select("doc_id", "lang", "prediction").withColumn("class", F.explode(F.lit([float(x) for x in _LANGUAGES.values()])))
+    scored = each.join(F.broadcast(totals.withColumnRenamed("label", "class")), "class").join(gains, ["doc_id", "class"], "left").join(weights, "doc_id", "left")
+    score = base + F.coalesce("gain", F.lit(0.0)) - F.coalesce("weight", F.lit(0.0)) * unseen
+    judged = scored.withColumn("score", score).groupBy("doc_id", "lang").agg(
+        F.max("score").alias("best"), F.max(F.when(F.col("class") == F.col("prediction"), F.col("score"))).alias("given")
+    )
+    right = F.col("given") >= F.col("best") - 1e-6 * (1 + F.abs(F.col("best")))
+    return judged.groupBy("lang").agg(F.count("*").alias("cnt"), F.every(right).alias("weighed"))
+
+
+@query("classify_news", "SELECT lang, true AS most, true AS known FROM documents GROUP BY lang")
+def _classify_news(spark, sf_dir):
+    """The whole test of a model, by its own split: at least half of each language's test rows are told from the others."""
     scored = classify_news(_texts(spark, sf_dir), "text", "lang", _LANGUAGES)
-    return ml.confusion_counts(scored)
+    names = F.get(F.lit(sorted(_LANGUAGES, key=_LANGUAGES.get)), F.col("label").cast("int"))
+    return scored.groupBy(names.alias("lang")).agg(
+        (2 * F.count_if(F.col("label") == F.col("prediction")) >= F.count("*")).alias("most"), F.every(F.col("prediction").isin(*_LANGUAGES.values())).alias("known")
+    )
+
+
+@query("classify_new_titles", "SELECT doc_id, true AS same, true AS known FROM documents")
+def _classify_new_titles(spark, sf_dir):
+    """Texts without a label: the model that was loaded says of every one what the fitted one does."""
+    texts, path = _texts(spark, sf_dir), new_path(spark, "news-model")
+    model = fit_news(texts, "text", "lang", _LANGUAGES)
+    model.write().save(path)
+    new = texts.drop("lang")
+    fitted = classify_titles(model, new, "text").select("doc_id", F.col("predicted_category").alias("fitted"))
+    loaded = classify_titles(load_news(path), new, "text").select("doc_id", "predicted_category")
+    return fitted.join(loaded, "doc_id", "full").select(
+        "doc_id", F.col("fitted").eqNullSafe(F.col("predicted_category")).alias("same"), F.col("fitted").isin(*_LANGUAGES).alias("known")
+    )
 
 
 @query(

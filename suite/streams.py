@@ -33,7 +33,7 @@ from suite.windows import (
 )
 from tallyloom.plans import ad_clicks as ad_plan
 from tallyloom.plans import orders as order_plan
-from tallyloom.shared_folder import new_path
+from tallyloom.shared_folder import new_path, staged
 from tallyloom.sinks import stores
 from tallyloom.sources.streams import stream_text_source, stream_topic_source, stream_union
 from tallyloom.streaming import ingest, state, windows
@@ -235,6 +235,20 @@ def _ad_click_state_expiring_running(spark, sf_dir):
     return _plain(spark.read.parquet(path).drop(stores.BATCH), "period_start", "period_end")
 
 
+@query("ad_click_periods_running", AD_PERIODS + "SELECT * FROM periods")
+def _ad_click_periods_running(spark, sf_dir):
+    """Periods while they run, with the clock of Shanghai; a batch holds several periods of a key."""
+    root = new_path(spark, "click-periods")
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Shanghai")
+    try:
+        clicks = ad_click_stream(spark, sf_dir)
+        ad_plan.start_click_periods(clicks, root, new_path(spark, "click-periods-checkpoint"), idle="12 hours").awaitTermination()
+        local = _plain(ad_plan.click_periods(spark, root), "period_start", "period_end")
+        return staged(local, "click-periods")
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 @query("stream_route_by_type", with_ctes(ORDERS, ROUTED) + "SELECT order_id, order_type, target FROM routed")
 def _stream_route_by_type(spark, sf_dir):
     path = new_path(spark, "routes")

@@ -26,20 +26,31 @@ _TIMES = {"events": "ts", "orders": "o_orderdate"}
 def stream(spark: SparkSession, sf_dir: str, name: str, newest_first: bool = False) -> DataFrame:
     """A given table as a stream of several batches in order of time, all rows included.
 
-    Each span of time becomes one file of a new folder, and each batch takes one file; with ``newest_first`` the spans
+    One pass deals the rows to spans of time, each a file of a new folder that one task writes; each batch takes one file.
+    Files are taken in the order of their times, which are set to that of the spans; with ``newest_first`` the spans
     arrive backwards, so that all rows but those of the first batch are late.
     """
     rows, time = table(spark, sf_dir, name), _TIMES[name]
-    inbox, at = new_path(spark, f"{name}-inbox"), F.col(time)
+    inbox, at = new_path(spark, f"{name}-inbox"), F.unix_micros(F.col(time).cast("timestamp"))
     lo, hi, n = rows.agg(F.min(at), F.max(at), F.count("*")).first()
     batches = max(BATCHES, -(-n // BATCH_ROWS)) if lo is not None else 1
-    bounds = [F.lit(str(lo + (hi - lo) * i / batches)).cast(rows.schema[time].dataType) for i in range(1, batches)]
-    for i in reversed(range(batches)) if newest_first else range(batches):
-        span = (at >= bounds[i - 1]) if i else F.lit(True)
-        if i < batches - 1:
-            span &= (at < bounds[i]) if i else (at < bounds[i]) | at.isNull()
-        rows.where(span).coalesce(1).write.mode("append").parquet(inbox)
-    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(inbox)
+    share = (at - F.lit(lo)).cast("double") / F.lit(1 + (hi or 0) - (lo or 0))
+    span = F.coalesce(F.floor(share * batches), F.lit(0)).cast("int").alias("_span")
+    rows.select("*", span).repartition(batches, "_span").write.partitionBy("_span").parquet(inbox)
+    _in_order(spark, inbox, range(batches), newest_first)
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(inbox).drop("_span")
+
+
+def _in_order(spark: SparkSession, inbox: str, spans: range, newest_first: bool) -> None:
+    """Give the files of each span the time that its place in the order asks for."""
+    jvm = spark._jvm
+    for span in spans:
+        folder = jvm.org.apache.hadoop.fs.Path(f"{inbox}/_span={span}")
+        fs = folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+        if fs.exists(folder):
+            place = len(spans) - span if newest_first else span + 1
+            for found in fs.listStatus(folder):
+                fs.setTimes(found.getPath(), 1_000_000_000_000 + 1000 * place, -1)
 
 
 def with_instant(df: DataFrame, ts: str = "ts") -> DataFrame:

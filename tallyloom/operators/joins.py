@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyloom.operators.membership import membership_anti_join
+
 BROADCAST_ROWS = 1_000_000
 
 
@@ -49,16 +51,19 @@ def blacklist_left_outer_filter(df: DataFrame, black: DataFrame, key: str) -> Da
 
 
 def blacklist_broadcast_filter(
-    df: DataFrame, black: DataFrame, key: str, max_rows: int = BROADCAST_ROWS
+    df: DataFrame, black: DataFrame, key: str, max_rows: int = BROADCAST_ROWS, bits: DataFrame | None = None
 ) -> DataFrame:
     """The same with the list sent to every executor, if it is short enough.
 
     The list is counted first, with one number from each task; a longer one
-    goes through the ordinary anti join.  ``black`` should be a stored list,
-    because it is read for the count and for the join.
+    goes through the ordinary anti join, or, with the ``membership_bits`` of
+    the list, through a filter that spares most rows the shuffle.  ``black``
+    should be a stored list, because it is read for the count and for the join.
     """
     listed = black.select(key)
     short = listed.count() <= max_rows
+    if not short and bits is not None:
+        return membership_anti_join(df, listed, key, bits)
     return df.join(F.broadcast(listed) if short else listed, key, "left_anti")
 
 

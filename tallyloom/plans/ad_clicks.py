@@ -14,12 +14,13 @@ from tallyloom.operators.topn import province_top5_ads
 from tallyloom.sinks.stores import changed_rows, count_sink, largest, read_counts, read_replaced, read_upserted, replace_sink, upsert_sink
 from tallyloom.streaming.blacklist import blacklist_sink, filtered_batches
 from tallyloom.streaming.runner import resume_from_checkpoint
-from tallyloom.streaming.state import STATE_KEYS, click_dimensions
+from tallyloom.streaming.state import STATE_KEYS, ad_click_periods, click_dimensions
 from tallyloom.streaming.windows import LATENESS, ad_click_window, seconds, window_counts
 
 BLACKLIST_WINDOW = ("60 seconds", "18 seconds")
 RECENT_WINDOW = ("60 seconds", "6 seconds")
 RANK_KEYS = ["date", "province", "rank"]
+PERIOD_KEYS = [*STATE_KEYS, "period_start"]
 _AD_KEYS = ["date", "province", "ad_id"]
 
 
@@ -131,6 +132,32 @@ def start_province_top5(
     return resume_from_checkpoint(clicks, rank, f"{checkpoint}/top5", mode="append", every=every)
 
 
+def start_click_periods(
+    clicks: DataFrame,
+    root: str,
+    checkpoint: str,
+    idle: str = "36 seconds",
+    every: str | None = None,
+    lateness: str = LATENESS,
+    generation: int = 0,
+) -> StreamingQuery:
+    """The query that keeps the running count of each period of a key, from its first click on."""
+    conf, name = clicks.sparkSession.conf, "spark.sql.streaming.stateStore.providerClass"
+    before = conf.get(name, None)
+    conf.set(name, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        counts = ad_click_periods(clicks, idle, lateness=lateness)
+        sink = upsert_sink(f"{root}/periods", PERIOD_KEYS, generation)
+        return resume_from_checkpoint(counts, sink, f"{checkpoint}/periods", every=every)
+    finally:  # a query keeps the settings that it was started with
+        conf.unset(name) if before is None else conf.set(name, before)
+
+
+def click_periods(spark: SparkSession, root: str) -> DataFrame:
+    """The periods so far with their counts; those that are not over yet too."""
+    return read_upserted(spark, f"{root}/periods", PERIOD_KEYS)
+
+
 def _dated(clicks: DataFrame) -> DataFrame:
     return clicks.select(F.date_format("ts", "yyyyMMdd").alias("date"), "province", "ad_id", F.col("ts").alias("last"))
 

@@ -15,6 +15,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyloom.operators.membership import BLOCKS, membership_bits, merged_bits
 from tallyloom.sinks.versions import BATCH, FAN_IN, FOLDED, GENERATION, NOTHING, Merge, Store, Version
 
 #: A row of a batch that has true here takes its key out of the store.
@@ -159,9 +160,33 @@ def set_sink(path: str, key: str, generation: int = 0, fan_in: int = FAN_IN) ->
     return write
 
 
-def read_set(spark: SparkSession, path: str, key: str, key_type: str = "BIGINT", version: int | None = None) -> DataFrame:
-    """The members; none while nothing has been written."""
-    return _read(spark, path, functools.partial(_members, key=key), f"{key} {key_type}", version)
+def read_set(
+    spark: SparkSession, path: str, key: str, key_type: str = "BIGINT", version: int | None = None, repeats: bool = False
+) -> DataFrame:
+    """The members; none while nothing has been written.
+
+    With ``repeats`` a member may be there several times, at most once a run: enough for an anti join, without a shuffle.
+    """
+    merge = (lambda rows, whole: rows.select(key)) if repeats else functools.partial(_members, key=key)
+    return _read(spark, path, merge, f"{key} {key_type}", version)
+
+
+def _any_bits(rows: DataFrame, whole: bool) -> DataFrame:
+    return merged_bits(rows)
+
+
+def bits_sink(path: str, key: str, generation: int = 0, blocks: int = BLOCKS, fan_in: int = FAN_IN) -> BatchSink:
+    """The membership filter of a growing list.  Write a batch here before it goes to the list itself."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        Store(batch.sparkSession, path, fan_in).add(membership_bits(batch, key, blocks), batch_id, generation, _any_bits)
+
+    return write
+
+
+def read_bits(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
+    """The filter of all that was written; it has no blocks while nothing was."""
+    return _read(spark, path, _any_bits, "block INT, bits BINARY", version)
 
 
 def count_sink(

@@ -3,7 +3,7 @@ from pyspark.ml.evaluation import MulticlassClassificationEvaluator, RegressionE
 from pyspark.sql import functions as F
 
 from tallyloom.operators import ml
-from tallyloom.plans.news import classify_news
+from tallyloom.plans.news import classify_news, classify_titles, fit_news, load_news
 from tallyloom.plans.recommend import train_and_score
 
 
@@ -57,3 +57,19 @@ def test_synonyms_and_features(spark):
     assert near.count() == 3
     features = ml.tfidf_features(words, dims=1000).select("features").first()[0]
     assert features.size == 1000
+
+
+def test_a_news_model_is_kept_for_titles_to_come(spark, tmp_path):
+    topics = {"b": "Stock market, bank.", "t": "phone chip software", "e": "film music star", "m": "health doctor study", "x": "no such"}
+    rows = [(f"{words} item{i % 7}", c) for c, words in topics.items() for i in range(40)] + [(None, "b")]
+    model = fit_news(spark.createDataFrame(rows, "title string, category string"), dims=1000)
+    model.write().save(str(tmp_path / "news"))
+    titles = spark.createDataFrame([(1, "The BANK, the market", 7.0), (2, "a new chip", None), (3, None, 1.0), (4, "", 2.0)], "n int, title string, prediction_note double")
+    for given in (model, load_news(str(tmp_path / "news"))):
+        found = classify_titles(given, titles)
+        assert found.columns == [*titles.columns, "predicted_category"]
+        got = {r.n: (r.title, r.predicted_category) for r in found.collect()}
+        assert got[1] == ("The BANK, the market", "b") and got[2] == ("a new chip", "t")
+        assert got[3][0] is None and got[4][0] == "" and got[3][1] == got[4][1], "without words, by frequency of the classes"
+    with pytest.raises(ValueError):
+        fit_news(titles, labels={"a": 1.0, "b": 3.0})

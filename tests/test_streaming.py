@@ -136,6 +136,32 @@ def test_running_counts_of_idle_keys(spark, tmp_path):
     assert seen == {1: 1}, "after 480 idle seconds the count starts again"
 
 
+def test_periods_while_they_run(spark, tmp_path):
+    inbox, root, cp = Inbox(spark, tmp_path / "in", CLICK), str(tmp_path / "root"), str(tmp_path / "cp")
+
+    def after(*parts, lateness="0 seconds"):
+        for part in parts:
+            inbox.deliver(part)
+        ad_plan.start_click_periods(inbox.stream(), root, cp, "60 seconds", lateness=lateness).awaitTermination()
+        rows = ad_plan.click_periods(spark, root).collect()
+        return sorted((r.ad_id, r.period_start.timestamp() - START.timestamp(), r.click_count) for r in rows)
+
+    assert after(clicks_of(1, [0, 1], ad=1) + clicks_of(2, [0], ad=2)) == [(1, 0, 2), (2, 0, 1)]
+    # A gap within one batch: the third click opens a period of its own.
+    assert after(clicks_of(1, [30, 200, 210], ad=1)) == [(1, 0, 3), (1, 200, 2), (2, 0, 1)]
+    assert after(clicks_of(2, [500], ad=2)) == [(1, 0, 3), (1, 200, 2), (2, 0, 1), (2, 500, 1)]
+    assert after(clicks_of(1, [510], ad=1)) == [(1, 0, 3), (1, 200, 2), (1, 510, 1), (2, 0, 1), (2, 500, 1)]
+
+
+def test_late_clicks_join_periods(spark, tmp_path):
+    inbox, root, cp = Inbox(spark, tmp_path / "in", CLICK), str(tmp_path / "root"), str(tmp_path / "cp")
+    for times in ([0, 100, None], [50], [40, -10]):
+        inbox.deliver([(None if t is None else at(t), "p", None, 1, 7) for t in times if t is not None])
+        ad_plan.start_click_periods(inbox.stream(), root, cp, "60 seconds", lateness="10 minutes").awaitTermination()
+        found = [(r.city, r.period_start.timestamp() - START.timestamp(), r.click_count) for r in ad_plan.click_periods(spark, root).collect()]
+    assert found == [(None, -10, 5)]
+
+
 def test_ingest_replays_and_bad_messages(spark, tmp_path, rows):
     messages = [("t1", '{"r":"1","f":"i","q":["a","b"],"v":["x","y"]}'), ("t2", '{"r":"2","f":"i","q":["a"],"v":["z"]}'), ("t1", "broken")]
     cells = ingest.topic_ingest_exactly(spark.createDataFrame(messages, "topic string, value string"))
