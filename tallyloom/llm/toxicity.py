@@ -7,16 +7,20 @@ begins (and, for whole words, ends), unless it lies within an exception phrase.
 of the weight of the distinct entries found and of the weighted hits per hundred words.
 
 The lexicon is learned from labelled rows: entries whose smoothed log-odds are high, exception phrases that hold an
-entry but occur in clean texts.  Of more than ``max_labelled`` labelled rows about that many are used, chosen by a hash of the text.
+entry but occur in clean texts.  What speaks for an entry is counted in texts first, and then, for those that pass, in
+texts that are unlike, so the words of one text that was copied many times are not taken for a lexicon.  Of more than ``max_labelled`` labelled documents about that many are used,
+chosen by a hash of doc_id.
 """
 
 from __future__ import annotations
 
 import functools
+import itertools
 import json
 import math
 import re
 import unicodedata
+import zlib
 from collections.abc import Iterable, Iterator
 
 import ahocorasick
@@ -24,6 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyloom.llm.quality import labelled_texts
 from tallyloom.shared_folder import staged
 
 #: Letters that look like a Latin one.
@@ -35,14 +40,15 @@ LOOKALIKES = {
 #: Digits and signs that stand for a letter inside a word.
 STAND_INS = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "@": "a", "$": "s", "!": "i"}
 
-MAX_LABELLED = 200_000
+MAX_LABELLED = 40_000
+#: Counts that a task holds before it sends them on.
+HELD_COUNTS = 500_000
 #: Lengths of word beginnings that may become entries.
 PREFIXES = (4, 5, 6, 7, 8)
 MIN_DOCS = 3
 MIN_LOG_ODDS = 3.0
 #: How many times likelier than chance an entry must be, beyond the number of entries tried (natural logarithm).
 SURE = 3.0
-MAX_ENTRIES = 2_000
 THRESHOLD = 0.7
 
 _FOLD = str.maketrans(LOOKALIKES)
@@ -146,29 +152,68 @@ def score(text: str | None, dumped: str) -> float:
 
 
 def _features(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(feature, toxic, docs) of a batch: distinct words and word beginnings of each text, counted once a text."""
+    """(feature, toxic, docs): distinct words and word beginnings of each text, counted once a text and summed in the task."""
+
+    def sent() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.array([k[0] for k in counts], pa.string()), pa.array([k[1] for k in counts], pa.int32()), pa.array(list(counts.values()), pa.int64())],
+            names=["feature", "toxic", "docs"],
+        )
+
+    counts: dict[tuple[str, int], int] = {}
     for batch in batches:
-        counts: dict[tuple[str, int], int] = {}
         for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             words = set(words_of(text or ""))
             for feature in words | {f"{w[:k]}*" for w in words for k in PREFIXES if k < len(w)}:
                 key = feature, toxic
                 counts[key] = counts.get(key, 0) + 1
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([k[0] for k in counts], pa.string()), pa.array([k[1] for k in counts], pa.int32()), pa.array(list(counts.values()), pa.int64())],
-            names=["feature", "toxic", "docs"],
-        )
+            if len(counts) > HELD_COUNTS:
+                yield sent()
+                counts = {}
+    yield sent()
+
+
+def _entries_of(word: str, entries: dict[str, float]) -> list[str]:
+    found = [word] if word in entries else []
+    return found + [e for e in (f"{word[:k]}*" for k in PREFIXES if k < len(word)) if e in entries]
+
+
+def _neighbourhoods(rows: DataFrame, entries: dict[str, float]) -> DataFrame:
+    """(feature, t, c): in how many unlike toxic and clean texts an entry stands.
+
+    A text has one mark for each entry: the smallest hash of the words on both sides of it, and the smallest hash of any
+    two words of the text.  Marks are counted once, so copies of a text count as one, and so do most of its edited copies.
+    """
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found: set[tuple[str, int, int, int]] = set()
+            for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                words = words_of(text or "")
+                marks: dict[str, int] = {}
+                for i, w in enumerate(words):
+                    for e in _entries_of(w, entries):
+                        sides = " ".join([*words[max(0, i - 1) : i], "", *words[i + 1 : i + 2]])
+                        marks[e] = min(marks.get(e, 1 << 32), zlib.crc32(sides.encode()))
+                if marks:
+                    least = min(zlib.crc32(f"{a} {b}".encode()) for a, b in itertools.pairwise(["", *words]))
+                    found |= {(e, toxic, mark, least) for e, mark in marks.items()}
+            columns = list(zip(*found, strict=True)) if found else [()] * 4
+            kinds = [pa.string(), pa.int32(), pa.int64(), pa.int64()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["feature", "toxic", "mark", "least"])
 
+    unlike = rows.mapInArrow(run, "feature string, toxic int, mark long, least long").distinct()
+    return unlike.groupBy("feature").agg(F.count_if(F.col("toxic") == 1).alias("t"), F.count_if(F.col("toxic") == 0).alias("c"))
 
-def learn(labelled: DataFrame, max_labelled: int = MAX_LABELLED) -> Lexicon:
+
+def learn(labelled: DataFrame) -> Lexicon:
     """A lexicon from rows (text, toxic); rows with a null text or label are left out.
 
-    Counts are made on the cluster; only the chosen entries, at most ``MAX_ENTRIES``, come to the driver.  Without
-    toxic rows the lexicon is empty.
+    Counts are made on the cluster.  The entries that pass come to the driver: each stands in ``MIN_DOCS`` toxic texts
+    at least and passes a bar that rises with what was tried, so their number is bounded by that of the labelled texts.
+    Without toxic rows the lexicon is empty.
     """
-    known = staged(labelled.select(F.col("text"), F.col("toxic").cast("int").alias("toxic")).where("text is not null and toxic is not null"), "labelled")
-    share = max_labelled / max(1, known.count())
-    rows = known if share >= 1 else known.where(F.pmod(F.xxhash64("text", F.lit(11)), F.lit(1_000_000)) < int(1_000_000 * share))
+    rows = staged(labelled.select(F.col("text"), F.col("toxic").cast("int").alias("toxic")).where("text is not null and toxic is not null"), "labelled")
     totals = rows.groupBy().agg(F.sum("toxic").alias("t"), F.count("*").alias("n")).first()
     toxic, clean = int(totals.t or 0), int(totals.n - (totals.t or 0))
     if not toxic:
@@ -179,20 +224,33 @@ def learn(labelled: DataFrame, max_labelled: int = MAX_LABELLED) -> Lexicon:
         .agg(F.sum(F.when(F.col("toxic") == 1, F.col("docs")).otherwise(0)).alias("t"), F.sum(F.when(F.col("toxic") == 1, 0).otherwise(F.col("docs"))).alias("c")),
         "features",
     )
-    odds = F.log((F.col("t") + 0.5) / (toxic + 1)) - F.log((F.col("c") + 0.5) / (clean + 1))
     rate = toxic / (toxic + clean)
     n, t, c = F.col("t") + F.col("c"), F.col("t"), F.col("c")
+    odds = F.log((t + 0.5) / (toxic + 1)) - F.log((c + 0.5) / (clean + 1))
     gain = t * F.log(t / (n * rate)) + F.when(c > 0, c * F.log(c / (n * (1 - rate)))).otherwise(0.0)
     tried = counted.where(t + c >= MIN_DOCS)
     bar = math.log(max(1, tried.count())) + SURE if clean else 0.0
-    chosen = (
-        tried.withColumns({"odds": odds, "gain": gain})
-        .where((t >= MIN_DOCS) & (F.col("odds") >= MIN_LOG_ODDS) & (F.col("gain") >= bar))
-        .orderBy(F.desc("gain"), F.length("feature"), "feature")
-        .limit(MAX_ENTRIES)
-        .collect()
-    )
-    entries = {r.feature: round(float(r.odds), 6) for r in chosen}
+
+    def sure(df: DataFrame) -> dict[str, tuple[float, int, int]]:
+        passed = df.withColumns({"odds": odds, "gain": gain}).where((t >= MIN_DOCS) & (F.col("odds") >= MIN_LOG_ODDS) & (F.col("gain") >= bar))
+        return {r.feature: (round(float(r.odds), 6), r.t, r.c) for r in passed.collect()}
+
+    def stands_alone(t: int, c: int) -> bool:
+        if t < MIN_DOCS or math.log((t + 0.5) / (toxic + 1)) - math.log((c + 0.5) / (clean + 1)) < MIN_LOG_ODDS:
+            return False
+        return t * math.log(t / ((t + c) * rate)) + (c * math.log(c / ((t + c) * (1 - rate))) if c else 0.0) >= bar
+
+    chosen = sure(_neighbourhoods(rows, dict.fromkeys(sure(tried), 0.0)))
+    entries: dict[str, float] = {}
+    for e, (weight, t_e, c_e) in sorted(chosen.items(), key=lambda x: (-x[1][0], x[0].endswith("*"), len(x[0]), x[0])):
+        start = e.removesuffix("*")
+        # A longer entry that weighs no more than a chosen beginning of it never counts; a beginning has to pass
+        # without what a heavier entry that it covers finds already.
+        if any(f"{start[:k]}*" in entries for k in PREFIXES if k < len(start)):
+            continue
+        covered = [chosen[x][1:] for x in entries if e.endswith("*") and x.startswith(start)]
+        if all(stands_alone(t_e - t_x, c_e - c_x) for t_x, c_x in covered):
+            entries[e] = weight
     exceptions = _exceptions(rows, entries)
     # Clean texts lie at the bias; one sure entry (log-odds of four or more) carries a text over the threshold.
     return Lexicon(entries, exceptions, bias=math.log((toxic + 1) / (clean + toxic + 1)) - 1.5, slope=1.0, density=0.5)
@@ -200,11 +258,8 @@ def learn(labelled: DataFrame, max_labelled: int = MAX_LABELLED) -> Lexicon:
 
 def _exceptions(rows: DataFrame, entries: dict[str, float]) -> list[str]:
     """Word pairs around a hit that occur in clean texts only, at least ``MIN_DOCS`` times."""
-    dumped = Lexicon(entries, []).dump()
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lexicon, _ = _matcher(dumped)
-        starts = tuple(e[:-1] for e in lexicon.entries if e.endswith("*"))
         for batch in batches:
             phrases: list[str] = []
             labels: list[int] = []
@@ -212,14 +267,14 @@ def _exceptions(rows: DataFrame, entries: dict[str, float]) -> list[str]:
                 words = words_of(text or "")
                 seen = set()
                 for i, w in enumerate(words):
-                    if w in lexicon.entries or (starts and w.startswith(starts)):
+                    if _entries_of(w, entries):
                         seen |= {" ".join(words[max(0, i - 1) : i + 1]), " ".join(words[i : i + 2])} - {w}
                 phrases += seen
                 labels += [toxic] * len(seen)
             yield pa.RecordBatch.from_arrays([pa.array(phrases, pa.string()), pa.array(labels, pa.int32())], names=["phrase", "toxic"])
 
     found = rows.mapInArrow(run, "phrase string, toxic int").groupBy("phrase").agg(F.sum("toxic").alias("t"), F.count("*").alias("n"))
-    return [r.phrase for r in found.where((F.col("t") == 0) & (F.col("n") >= MIN_DOCS)).orderBy(F.desc("n"), "phrase").limit(MAX_ENTRIES).collect()]
+    return sorted(r.phrase for r in found.where((F.col("t") == 0) & (F.col("n") >= MIN_DOCS)).collect())
 
 
 def score_documents(docs: DataFrame, lexicon: Lexicon) -> DataFrame:
@@ -243,10 +298,13 @@ def held_out(doc_id: str = "doc_id") -> F.Column:
     return F.coalesce(F.pmod(F.crc32(F.col(doc_id).cast("string")), F.lit(3)) == 1, F.lit(False))
 
 
-def training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(text, toxic) of the labelled documents that are not held out."""
-    known = labels.where("toxic is not null and doc_id is not null").select("doc_id", F.col("toxic").alias("label")).where(~held_out())
-    return docs.select("doc_id", "text").join(known, "doc_id").select("text", F.col("label").alias("toxic"))
+def training_rows(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) -> DataFrame:
+    """(text, toxic) of the labelled documents that are not held out, one row a doc_id; about ``max_labelled`` at most.
+
+    Labels are bounded before they meet the documents, so the documents stay where they are.
+    """
+    rows = labelled_texts(docs, labels.where(~held_out()), "toxic", max_labelled)
+    return rows.select("text", F.col("label").alias("toxic"))
 
 
 def keep_clean(docs: DataFrame, lexicon: Lexicon) -> DataFrame:
