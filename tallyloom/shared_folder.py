@@ -9,6 +9,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -29,7 +32,31 @@ def shared_folder(spark: SparkSession) -> str:
 
 def new_path(spark: SparkSession, label: str) -> str:
     """A fresh path, used by nobody else, below the shared folder."""
-    return f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    for paths in _RECORDS.get():
+        paths.append(path)
+    return path
+
+
+_RECORDS: ContextVar[tuple[list[str], ...]] = ContextVar("records", default=())
+
+
+@contextmanager
+def recorded() -> Iterator[list[str]]:
+    """The paths that are made meanwhile, so that they can be discarded once nothing reads them any more."""
+    paths: list[str] = []
+    before = _RECORDS.set((*_RECORDS.get(), paths))
+    try:
+        yield paths
+    finally:
+        _RECORDS.reset(before)
+
+
+def discard(spark: SparkSession, paths: list[str]) -> None:
+    """Delete what lies at ``paths``."""
+    for path in paths:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)
 
 
 def staged(df: DataFrame, label: str) -> DataFrame:
