@@ -42,7 +42,7 @@ STAND_INS = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b
 
 MAX_LABELLED = 40_000
 #: Counts that a task holds before it sends them on.
-HELD_COUNTS = 500_000
+HELD_COUNTS = 100_000
 #: Lengths of word beginnings that may become entries.
 PREFIXES = (4, 5, 6, 7, 8)
 MIN_DOCS = 3
