@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyloom.operators.membership import membership_anti_join, membership_bits
 from tallyloom.shared_folder import staged
 
 SPACES = " \t\n\x0b\x0c\r"
@@ -247,7 +248,13 @@ def exact_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def drop_exact_duplicates(docs: DataFrame) -> DataFrame:
-    """The documents that stay, with the columns they came with; repeated rows of a doc_id count as copies."""
+    """The documents that stay, with the columns they came with; repeated rows of a doc_id count as copies.
+
+    The rows to drop are few; a filter of their numbers is sent to the documents, most of which then stay where they are.
+    """
     source = staged(docs.withColumn("_row", F.monotonically_increasing_id()), "documents")
-    index = build_index(content_digests(source, F.col("_row")), shards_for(source.count()))
-    return source.join(index.select(F.col("keep_row").alias("_row")), "_row", "left_semi").drop("_row")
+    digests = staged(content_digests(source, F.col("_row")), "digests")
+    index = staged(build_index(digests, shards_for(source.count())), "digest-index")
+    repeated = index.where("group_size > 1").select("digest", "keep_row")
+    dropped = staged(digests.join(repeated, "digest").where("row_id <> keep_row").select(F.col("row_id").alias("_row")), "dropped")
+    return membership_anti_join(source, dropped, "_row", staged(membership_bits(dropped, "_row"), "dropped-bits")).drop("_row")

@@ -14,7 +14,10 @@ their shingles (both are bounds, so no pair that is alike is left out).  Two tex
 similarity of their shingles is 0.8 or more and a banded alignment of their words keeps 0.8 of the longer one in
 order.  Classes are the connected components of the links.
 
-Texts that are equal word for word are folded before all this.
+Texts that are equal word for word are folded before all this; those without a word, if they are equal.
+
+Texts travel only for pairs that the bounds leave over: a filter of their numbers, of a fixed size, is sent to where the
+texts are, and what it lets through is dealt by number.
 """
 
 from __future__ import annotations
@@ -29,6 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.llm.components import components
+from tallyloom.operators.membership import may_be_listed, membership_anti_join, membership_bits
 from tallyloom.shared_folder import staged
 
 WORDS = 5
@@ -184,26 +188,33 @@ def alike(a: np.ndarray, b: np.ndarray, threshold: float = SIMILARITY) -> bool:
     return aligned_words(a, b, band) >= threshold * longer
 
 
+SKETCH = "row_id long, doc_id long, text string, digest binary, entries array<long>, shingles int, parities array<long>"
+
+
+def _digest(text: str, words: np.ndarray) -> bytes:
+    return xxhash.xxh128_digest(words.tobytes()) if len(words) else xxhash.xxh128_digest(b"\0" + text.encode())
+
+
 def _sketched(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        digests, entries = [], []
+        digests, entries, shingles, parities = [], [], [], []
         for text in batch.column(2).to_pylist():
             words = words_of(text)
-            digests.append(xxhash.xxh128_digest(words.tobytes()))
+            n, bits = outline(words)
+            digests.append(_digest(text, words))
             entries.append(short_entries(words))
+            shingles.append(n)
+            parities.append(bits)
         yield pa.RecordBatch.from_arrays(
-            [*batch.columns, pa.array(digests, pa.binary()), pa.array(entries, pa.list_(pa.int64()))],
-            names=["row_id", "doc_id", "text", "digest", "entries"],
+            [*batch.columns, pa.array(digests, pa.binary()), pa.array(entries, pa.list_(pa.int64())), pa.array(shingles, pa.int32()), pa.array(parities, pa.list_(pa.int64()))],
+            names=["row_id", "doc_id", "text", "digest", "entries", "shingles", "parities"],
         )
 
 
 def _longer(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        words = [words_of(t) for t in batch.column(1).to_pylist()]
-        entries = [long_entries(w) for w in words]
-        number, parities = zip(*map(outline, words), strict=True) if words else ((), ())
-        columns = [pa.array(number, pa.int32()), pa.array(parities, pa.list_(pa.int64())), pa.array(entries, pa.list_(pa.int64()))]
-        yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=["node", "shingles", "parities", "entries"])
+        entries = [long_entries(words_of(t)) for t in batch.column(1).to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(entries, pa.list_(pa.int64()))], names=["node", "entries"])
 
 
 def _verified(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -217,9 +228,32 @@ def _verified(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
 
-def _links(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs (a, b) that the alignment confirms."""
-    left = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("left")), "a")
+def _flat(outlines: DataFrame, name: str, prefix: str) -> DataFrame:
+    parities = [F.col("parities")[i].alias(f"{prefix}{i}") for i in range(PARITIES)]
+    return outlines.select(F.col("node").alias(name), F.col("shingles").alias(f"{prefix}s"), *parities)
+
+
+def _may_be_alike(x: str, y: str) -> F.Column:
+    """What two texts that are alike never miss, in columns ``{x}s, {x}0, …`` and ``{y}s, {y}0, …``."""
+    differ = " + ".join(f"bit_count({x}{i} ^ {y}{i})" for i in range(PARITIES))
+    # Of two texts with m and n shingles and a similarity of 0.8, (m + n) / 9 shingles are not in both.
+    within = f"9 * ({differ}) <= {x}s + {y}s"
+    return F.expr(f"{within} AND 5 * least({x}s, {y}s) >= 4 * greatest({x}s, {y}s)")
+
+
+def _texts_of(nodes: DataFrame, table: DataFrame) -> DataFrame:
+    """(node, text) of texts that may be among ``nodes``; the others do not leave their place."""
+    bits = staged(membership_bits(nodes, "node"), "node-bits")
+    asked = may_be_listed(table.select(F.col("row_id").alias("node"), "text"), "node", bits, "_maybe")
+    return asked.where("_maybe").drop("_maybe")
+
+
+def _links(pairs: DataFrame, outlines: DataFrame, table: DataFrame) -> DataFrame:
+    """The pairs (a, b) that the bounds leave over and the alignment confirms."""
+    both = pairs.join(_flat(outlines, "a", "l"), "a").join(_flat(outlines, "b", "r"), "b")
+    likely = staged(both.where(_may_be_alike("l", "r")).select("a", "b"), "likely")
+    texts = _texts_of(likely.select(F.explode(F.array("a", "b")).alias("node")), table)
+    left = likely.join(texts.select(F.col("node").alias("a"), F.col("text").alias("left")), "a")
     full = left.join(texts.select(F.col("node").alias("b"), F.col("text").alias("right")), "b").select("a", "b", "left", "right")
     return full.mapInArrow(_verified, "a long, b long")
 
@@ -232,12 +266,13 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     """(row_id, doc_id, class_id, class_size, kept) of every row.
 
     ``class_id`` is the smallest doc_id of the class (a null comes last), and the first row with it is kept.  Null
-    and empty texts, and all texts without a word, are one class of equal texts.  ``row_id`` tells repeated rows
+    and empty texts are one class; a text without a word is alike to equal texts only.  ``row_id`` tells repeated rows
     apart.
     """
     rows = docs.select(F.monotonically_increasing_id().alias("row_id"), F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    table = staged(rows.mapInArrow(_sketched, "row_id long, doc_id long, text string, digest binary, entries array<long>"), "sketches")
-    folded = staged(table.groupBy("digest").agg(F.min("row_id").alias("node"), F.first("entries").alias("entries")), "folded")
+    table = staged(rows.mapInArrow(_sketched, SKETCH), "sketches")
+    firsts = [F.first(c).alias(c) for c in ("entries", "shingles", "parities")]
+    folded = staged(table.groupBy("digest").agg(F.min("row_id").alias("node"), *firsts), "folded")
     entries = folded.select("node", F.explode("entries").alias("entry"))
     sizes = entries.groupBy("entry").agg(F.count("*").alias("n")).where("n > 1")
     members = staged(entries.join(sizes, "entry"), "members")
@@ -246,22 +281,21 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     weight = members.groupBy("node").agg(F.sum("n").alias("weight"))
     heavy = members.join(weight, "node").groupBy("entry").agg(F.max_by("node", F.struct("weight", -F.col("node"))).alias("b"))
     pairs = members.join(heavy, "entry").where("node <> b").select(F.col("node").alias("a"), "b").distinct()
-    texts = staged(table.select(F.col("row_id").alias("node"), "text").join(weight.select("node"), "node", "left_semi"), "texts")
-    links = staged(_links(pairs, texts), "links")
+    links = staged(_links(pairs, folded, table), "links")
     roots = components(links)
     placed = _with_roots(members.select("node", "entry"), roots)
     mixed = placed.groupBy("entry").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
-    unsettled = placed.join(mixed.select("entry"), "entry", "left_semi").select("node").distinct()
-    longer = texts.join(unsettled, "node", "left_semi").select("node", "text").mapInArrow(_longer, "node long, shingles int, parities array<long>, entries array<long>")
-    longer = staged(longer, "longer")
+    unsettled = staged(placed.join(mixed.select("entry"), "entry", "left_semi").select("node").distinct(), "unsettled")
+    texts = _texts_of(unsettled, table).join(unsettled, "node", "left_semi").select("node", "text")
+    longer = staged(texts.mapInArrow(_longer, "node long, entries array<long>"), "longer")
     entries = longer.select("node", F.explode("entries").alias("entry"))
     met = entries.groupBy("entry").agg(F.count("*").alias("n")).where("n > 1").select("entry")
     again = staged(entries.join(met, "entry", "left_semi"), "members")
     placed = staged(_in_mixed_buckets(_with_roots(again, roots)), "mixed")
     towards = placed.where("root <> top").select(F.least("node", "head").alias("a"), F.greatest("node", "head").alias("b")).distinct()
-    links = staged(links.union(_links(towards, texts)), "links")
-    rest = staged(_pairs_between_classes(_with_roots(again, components(links)), longer), "pairs")
-    links = staged(links.union(_links(rest, texts)), "links")
+    links = staged(links.union(_links(towards, folded, table)), "links")
+    rest = staged(_pairs_between_classes(_with_roots(again, components(links)), folded), "pairs")
+    links = staged(links.union(_links(rest, folded, table)), "links")
     return _classes(table, folded, components(links))
 
 
@@ -279,16 +313,17 @@ def _pairs_between_classes(placed: DataFrame, outlines: DataFrame) -> DataFrame:
 
     Texts of a bucket's largest class are not paired with each other, so one large class costs nothing by itself.
     """
-    flat = outlines.select("node", "shingles", *(F.col("parities")[i].alias(f"p{i}") for i in range(PARITIES)))
-    mixed = staged(_in_mixed_buckets(placed).drop("head").join(flat, "node"), "mixed")
-    x, y = mixed.where("root <> top").alias("x"), mixed.alias("y")
-    differ = " + ".join(f"bit_count(x.p{i} ^ y.p{i})" for i in range(PARITIES))
-    # Of two texts with m and n shingles and a similarity of 0.8, (m + n) / 9 shingles are not in both.
-    within = F.expr(f"9 * ({differ}) <= x.shingles + y.shingles")
-    once = F.expr("x.root <> y.root AND (y.root = y.top OR x.node < y.node)")
-    sizes = F.expr("5 * least(x.shingles, y.shingles) >= 4 * greatest(x.shingles, y.shingles)")
-    met = x.join(y, (F.col("x.entry") == F.col("y.entry")) & once & sizes & within)
-    return met.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
+    rooted = _in_mixed_buckets(placed).drop("head")
+    mixed = staged(rooted.join(outlines.select("node", "shingles", "parities"), "node"), "mixed")
+    x, y = _sided(mixed, "x").where("x_root <> x_top"), _sided(mixed, "y")
+    once = F.expr("x_root <> y_root AND (y_root = y_top OR x_node < y_node)")
+    met = x.join(y, (F.col("x_entry") == F.col("y_entry")) & once & _may_be_alike("x", "y"))
+    return met.select(F.least("x_node", "y_node").alias("a"), F.greatest("x_node", "y_node").alias("b")).distinct()
+
+
+def _sided(mixed: DataFrame, p: str) -> DataFrame:
+    parities = [F.col("parities")[i].alias(f"{p}{i}") for i in range(PARITIES)]
+    return mixed.select(*(F.col(c).alias(f"{p}_{c}") for c in ("entry", "root", "top", "node")), F.col("shingles").alias(f"{p}s"), *parities)
 
 
 def _classes(table: DataFrame, folded: DataFrame, roots: DataFrame | None) -> DataFrame:
@@ -303,10 +338,15 @@ def _classes(table: DataFrame, folded: DataFrame, roots: DataFrame | None) -> Da
 
 
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
-    """One document of every class, with the columns it came with: that with the smallest doc_id."""
+    """One document of every class, with the columns it came with: that with the smallest doc_id.
+
+    The rows to drop are few; a filter of their numbers is sent to the documents, most of which then stay where they are.
+    """
     source = staged(docs.withColumn("_row", F.monotonically_increasing_id()), "documents")
     tagged = source.select(F.col("_row").alias("doc_id"), "text")
     order = source.select(F.col("_row").alias("doc_id"), F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_row").alias("place"))
-    found = near_duplicates(tagged).select("doc_id", "class_id").join(order, "doc_id")
-    kept = found.groupBy("class_id").agg(F.min("place").alias("place")).select(F.col("place._row").alias("_row"))
-    return source.join(kept, "_row", "left_semi").drop("_row")
+    found = near_duplicates(tagged).where("class_size > 1").select("doc_id", "class_id").join(order, "doc_id")
+    first = found.groupBy("class_id").agg(F.min("place").alias("place"))
+    dropped = found.join(first.select("class_id", F.col("place._row").alias("first")), "class_id").where("doc_id <> first")
+    dropped = staged(dropped.select(F.col("doc_id").alias("_row")), "dropped")
+    return membership_anti_join(source, dropped, "_row", staged(membership_bits(dropped, "_row"), "dropped-bits")).drop("_row")

@@ -47,7 +47,7 @@ def corpus():
         rows.append((1000 + i, " ".join(words)))
     passage = " ".join(text(60))
     rows += [(2000 + i, " ".join(text(80)) + " " + passage) for i in range(40)]
-    rows += [(3000, None), (3001, ""), (3002, "!!"), (3003, "one two"), (3004, "One, two!"), (None, rows[0][1]), (5, rows[5][1]), (3005, "w " * 30_000), (3006, "w " * 30_000 + "end")]
+    rows += [(3000, None), (3001, ""), (3002, "!!"), (3007, "★"), (3008, "!!"), (3009, "? ?"), (3003, "one two"), (3004, "One, two!"), (None, rows[0][1]), (5, rows[5][1]), (3005, "w " * 30_000), (3006, "w " * 30_000 + "end")]
     return rows
 
 
@@ -62,7 +62,8 @@ def brute(rows):
 
     for i in range(len(rows)):
         for j in range(i):
-            if (not len(words[i]) and not len(words[j])) or (len(words[i]) and len(words[j]) and om.alike(words[i], words[j])):
+            wordless = not len(words[i]) and not len(words[j])
+            if (wordless and (rows[i][1] or "") == (rows[j][1] or "")) or (len(words[i]) and len(words[j]) and om.alike(words[i], words[j])):
                 root[find(i)] = find(j)
     groups = {}
     for i, (doc, _) in enumerate(rows):
