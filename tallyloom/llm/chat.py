@@ -75,14 +75,21 @@ def _turns(conv: object, raw: str) -> list[tuple[object, int, str, str]]:
     return [(conv, i, ROLES.get(role, role), text) for i, (role, text) in enumerate(out)]
 
 
+def _typed(turn: tuple) -> bool:
+    """Whether a turn has a number (or none) and texts; a known layout may hold anything in its fields."""
+    _, number, role, text = turn
+    counted = number is None or (isinstance(number, int) and not isinstance(number, bool) and -(1 << 63) <= number < 1 << 63)
+    return counted and isinstance(role, str) and isinstance(text, str)
+
+
 TURN = "conv_id long, turn long, role string, text string"
 
 
 def canonical_turns(records: DataFrame) -> DataFrame:
     """(conv_id, turn, role, text) of records (conv_id, record), a record being JSON text.
 
-    Null roles and texts become empty.  A record that is null, no JSON or of an unknown layout is kept as one turn
-    of the role ``unmapped``.
+    Null roles and texts become empty.  A record that is null, no JSON or of an unknown layout, or that has something
+    else than text where a role or a text of a turn should be, is kept as one turn of the role ``unmapped``.
     """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -90,9 +97,10 @@ def canonical_turns(records: DataFrame) -> DataFrame:
             rows = []
             for conv, raw in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 try:
-                    rows += _turns(conv, raw)
-                except (TypeError, ValueError):
-                    rows.append((conv, 0, "unmapped", raw or ""))
+                    turns = _turns(conv, raw)
+                except (TypeError, ValueError, AttributeError, RecursionError):
+                    turns = [None]
+                rows += turns if all(t and _typed(t) for t in turns) else [(conv, 0, "unmapped", raw or "")]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.string(), pa.string()))],
                 names=["conv_id", "turn", "role", "text"],

@@ -74,9 +74,9 @@ def write_archives(pages: DataFrame, path: str, min_bytes: int = 0, compression:
 _LINE = re.compile(rb"(?m)^([A-Za-z-]+): (.*?)\r?$")
 
 
-def _pieces(spark: SparkSession, path: str) -> DataFrame:
+def _pieces(spark: SparkSession, path: str, files: str) -> DataFrame:
     """What lies between two magics, with the split it was read in."""
-    lines = spark.read.option("lineSep", MAGIC).option("pathGlobFilter", "*.txt*").text(path)
+    lines = spark.read.option("lineSep", MAGIC).option("pathGlobFilter", files).text(path)
     return lines.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.col("value").cast("binary").alias("raw"))
 
 
@@ -195,7 +195,7 @@ def reachable(candidates: DataFrame) -> DataFrame:
     return known.groupBy("file", "block").cogroup(starts.groupBy("file", "block")).applyInPandas(_chain, RECORD)
 
 
-def _rejoined(spark: SparkSession, path: str, broken: DataFrame) -> DataFrame:
+def _rejoined(spark: SparkSession, path: str, files: str, broken: DataFrame) -> DataFrame:
     """Digests of payloads with a magic inside: (file, offset, digest)."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pd.DataFrame]:
@@ -203,7 +203,7 @@ def _rejoined(spark: SparkSession, path: str, broken: DataFrame) -> DataFrame:
             yield pd.DataFrame({"file": [file], "block": [block], "start": [at], "size": [len(raw) + len(MAGIC)], "step": [None], "raw": [raw]})
 
     ddl = "file string, block long, start long, size long, step long, raw binary"
-    parts = _placed(_pieces(spark, path).mapInArrow(_as_arrow(run, _arrow_schema(ddl)), ddl))
+    parts = _placed(_pieces(spark, path, files).mapInArrow(_as_arrow(run, _arrow_schema(ddl)), ddl))
     spans = broken.select("file", F.col("offset").alias("first"), F.col("next").alias("behind"), "bytes", F.explode(F.sequence(F.expr(f"offset div {SPAN_BLOCK}"), F.expr(f"next div {SPAN_BLOCK}"))).alias("b"))
     inside = parts.withColumn("b", F.expr(f"offset div {SPAN_BLOCK}")).join(spans, ["file", "b"]).where("offset >= first and offset < behind")
 
@@ -216,18 +216,24 @@ def _rejoined(spark: SparkSession, path: str, broken: DataFrame) -> DataFrame:
     return inside.groupBy("file", "first").applyInPandas(digest, "file string, offset long, found string")
 
 
-def read_archives(spark: SparkSession, path: str) -> DataFrame:
+#: Names of archives: those that Spark wrote, and those of others.
+FILES = "*.{txt,warc}*"
+
+
+def read_archives(spark: SparkSession, path: str, files: str = FILES) -> DataFrame:
     """page_id, payload_bytes, payload_digest, record_type, refers_to of every record of the archives in a folder.
 
-    The digest of a response is that of the bytes read; a revisit has those of the response that it names.
+    The digest of a response is that of the bytes read; a revisit has those of the response that it names.  Archives of
+    others may be read too: records of version 1.0, responses and revisits (other types are passed over), in files whose
+    names fit ``files``, gzip or not.  A record whose id is no page number has no page_id.
     """
-    pieces = _pieces(spark, path)
+    pieces = _pieces(spark, path, files)
     found = staged(_placed(pieces.mapInArrow(_as_arrow(_candidates, _arrow_schema(CANDIDATE)), CANDIDATE)), "candidates")
     records = staged(reachable(found), "records")
     broken = records.where("kind = 'response' and not whole")
     if broken.limit(1).count():
-        records = records.join(_rejoined(spark, path, broken), ["file", "offset"], "left").withColumn("digest", F.coalesce("found", "digest"))
-    number = lambda c: F.when(F.col(c) != "", F.col(c).cast("long"))
+        records = records.join(_rejoined(spark, path, files, broken), ["file", "offset"], "left").withColumn("digest", F.coalesce("found", "digest"))
+    number = lambda c: F.when(F.col(c) != "", F.col(c).try_cast("long"))
     full = records.where("kind = 'response'")
     targets = full.select(F.col("page").alias("refers"), "digest", F.col("bytes").alias("size")).distinct()
     revisits = records.where("kind = 'revisit'").join(targets, ["refers", "digest"], "left")

@@ -56,3 +56,14 @@ def test_round_trip(spark, part_chars):
         want[conv] = (len(own), digest("".join(f"{x[2]}\n{x[3]}\n" for x in own)), len(said), digest(said))
     assert got == want
     assert chat.read_formatted(chat.format_turns(turns.limit(0))).count() == 0
+
+
+def test_records_with_other_types_are_unmapped(spark):
+    odd = [
+        {"messages": [{"role": "user", "content": 5}]}, {"messages": [{"role": ["user"], "content": "x"}]}, {"messages": {"role": "a"}},
+        {"messages": [{"role": "user", "content": True}]}, {"conversations": [{"from": 1, "value": "x"}]}, {"conv_id": 1, "role": "user", "text": 7, "turn": 0},
+        {"conv_id": 1, "role": "user", "text": "x", "turn": "first"}, {"conv_id": 1, "role": "user", "text": "x", "turn": 1 << 70}, [1], "x", 5,
+    ]
+    rows = [(i, json.dumps(x)) for i, x in enumerate(odd)] + [(99, "[" * 100_000)]
+    got = chat.canonical_turns(spark.createDataFrame(rows, "conv_id long, record string")).collect()
+    assert sorted((r.conv_id, r.turn, r.role) for r in got) == [(i, 0, "unmapped") for i in [*range(len(odd)), 99]]

@@ -54,3 +54,16 @@ def test_files_cut_into_many_splits(spark):
 
 def test_base32(spark):
     assert spark.range(1).select(warc.base32_sha1(warc.F.lit("abc"))).first()[0] == base64.b32encode(hashlib.sha1(b"abc").digest()).decode()
+
+
+def test_archives_of_others(spark, tmp_path):
+    record = lambda kind, name, body, more="": (
+        f"WARC/1.0\r\nWARC-Type: {kind}\r\nWARC-Record-ID: <urn:uuid:{name}>\r\n{more}Content-Length: {len(body)}\r\n\r\n{body}\r\n\r\n"
+    )
+    text = record("warcinfo", "0-0", "software: x") + record("response", "1-1", "payload one") + record("request", "2-2", "GET /") + record("response", "3-3", "two")
+    (tmp_path / "x.warc").write_bytes(text.encode())
+    (tmp_path / "notes.md").write_bytes(b"WARC/1.0\r\nno archive")
+    got = sorted((r.payload_bytes, r.payload_digest, r.record_type, r.page_id) for r in warc.read_archives(spark, str(tmp_path)).collect())
+    digest = lambda s: base64.b32encode(hashlib.sha1(s).digest()).decode()
+    assert got == [(3, digest(b"two"), "response", None), (11, digest(b"payload one"), "response", None)]
+    assert warc.read_archives(spark, str(tmp_path), "*.gz").count() == 0
