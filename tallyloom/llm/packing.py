@@ -13,6 +13,7 @@ from __future__ import annotations
 import functools
 import math
 import random
+import struct
 import zlib
 from collections.abc import Iterable, Iterator
 
@@ -21,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.llm.bpe import KEPT_WORDS, Encoder, split_batches, vocabulary_path
+from tallyloom.llm.bpe import KEPT_WORDS, Encoder, chunks, vocabulary_path
 from tallyloom.shared_folder import staged
 
 CAPACITY = 2048
@@ -77,14 +78,18 @@ def token_pieces(docs: DataFrame, capacity: int = CAPACITY, end_id: int = 0, wit
         packed: dict[str, bytes] = {}
         end = np.array([end_id], "<u4").tobytes()
         for batch in batches:
-            for a, words in split_batches(batch.column(1).to_pylist(), coder):
+            texts = batch.column(1).to_pylist()
+            for a, b in chunks(texts):
+                words = [coder.split(t or "") for t in texts[a:b]]
                 if len(packed) > KEPT_WORDS:
                     packed.clear()
-                for w in {w for ws in words for w in ws if w not in packed}:
-                    packed[w] = np.array(coder.kept[w], "<u4").tobytes()
+                # Only the distinct words of a chunk are looked at one by one.
+                fresh = set().union(*words).difference(packed)
+                coder.learn(fresh)
+                packed.update((w, struct.pack(f"<{len(coder.kept[w])}I", *coder.kept[w])) for w in fresh)
                 row, piece, start, length, crc, ids = [], [], [], [], [], []
                 for i, ws in enumerate(words):
-                    data = b"".join([packed[w] for w in ws]) + end
+                    data = b"".join(map(packed.__getitem__, ws)) + end
                     for k, at in enumerate(range(0, len(data), 4 * capacity)):
                         part = data[at : at + 4 * capacity]
                         row.append(a + i)
