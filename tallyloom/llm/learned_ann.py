@@ -22,14 +22,16 @@ from pyspark.sql import functions as F
 from tallyloom.shared_folder import staged
 
 SAMPLE = 4_096
-GRAPH_NEIGHBOURS = 10
-#: Vectors of a part, on average, up to ``MAX_PARTS`` parts.
-PART_ROWS = 2_000
-MAX_PARTS = 128
+GRAPH_NEIGHBOURS = 20
+#: Vectors of a part, on average: about what one task holds.  There are ``MIN_PARTS`` parts at least, as long as each has
+#: ``LEAST_ROWS`` vectors, and ``MAX_PARTS`` at most.
+PART_ROWS = 20_000
+LEAST_ROWS = 25
+MIN_PARTS, MAX_PARTS = 16, 128
 HIDDEN = 64
 STEPS = 200
-#: Recall that the number of probed parts must reach on the sample.
-SAMPLE_RECALL = 0.985
+#: Recall of the neighbours in the sample that the number of probed parts must reach there.
+SAMPLE_RECALL = 0.94
 BLOCK_VECTORS = 20_000
 BLOCK_QUERIES = 4_000
 
@@ -238,6 +240,13 @@ def _ranked(found: DataFrame, top: int) -> DataFrame:
     return best.withColumn("rank", place).where(F.col("rank") <= top).select("query_id", "rank", "vec_id", "score")
 
 
+def parts_for(total: int) -> int:
+    """How many parts a table has: a power of two."""
+    if total < MIN_PARTS * LEAST_ROWS:
+        return 1
+    return min(MAX_PARTS, max(MIN_PARTS, 1 << max(0, math.ceil(math.log2(total / PART_ROWS)))))
+
+
 def nearest(vectors: DataFrame, is_query: F.Column, top: int = 20, parts: int | None = None) -> DataFrame:
     """(query_id, rank, vec_id, score): the ``top`` rows with the largest inner product found for each query row.
 
@@ -249,8 +258,7 @@ def nearest(vectors: DataFrame, is_query: F.Column, top: int = 20, parts: int |
     sample_rows = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).select("embedding").collect()
     sample = np.array([r.embedding for r in sample_rows]) if sample_rows else np.zeros((0, 1))
     total = rows.count() if len(sample) == SAMPLE else len(sample)
-    wanted = parts or min(MAX_PARTS, 1 << max(0, math.ceil(math.log2(max(1, total) / PART_ROWS))) if total > PART_ROWS else 1)
-    router = fit(sample, wanted)
+    router = fit(sample, parts or parts_for(total))
     kind = "vec_id long, embedding array<double>, parts array<int>"
     index = staged(rows.mapInArrow(_routed(router, 1), kind).select(F.col("parts")[0].alias("part"), "vec_id", "embedding"), "index")
     sizes = {r.part: r["count"] for r in index.groupBy("part").count().collect()}  # a row for each part

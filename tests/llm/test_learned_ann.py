@@ -1,6 +1,7 @@
 """Learned partitions: recall against brute force, ties, balance, odd vectors."""
 
 import math
+import os
 
 import numpy as np
 import pytest
@@ -54,6 +55,28 @@ def test_recall_and_scores(spark, monkeypatch, blocks):
     assert [i for i, _ in got[200]] == [0, *range(100, 119)]  # copies: smallest ids first
 
 
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01", "sf0.1"])
+def test_the_given_tables_are_routed(spark, monkeypatch, sf):
+    """The registered query has several parts, asks some of them, and finds nine in ten neighbours."""
+    path = f"/root/testdata/{sf}/embeddings.parquet"
+    if not os.path.exists(path):
+        pytest.skip("no test tables")
+    from tallyloom.llm.queries import QUERIES
+
+    routers, fit = [], ann.fit
+    monkeypatch.setattr(ann, "fit", lambda sample, parts: routers.append((parts, fit(sample, parts))) or routers[-1][1])
+    got = {}
+    for r in QUERIES["op3_learned_ann"](spark, path.rsplit("/", 1)[0]).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    ((parts, router),) = routers
+    assert parts >= 4 and 1 < router.probes < parts
+    rows = ann.usable(spark.read.parquet(path)).collect()
+    ids, x = np.array([r.vec_id for r in rows]), np.array([r.embedding for r in rows])
+    want = exact(x, ids, np.flatnonzero(ids % 20 == 0), 20)
+    assert set(got) == set(want)
+    assert sum(len({i for i, _ in want[q]} & got[q]) for q in want) >= 0.9 * sum(map(len, want.values()))
+
+
 def test_small_and_odd(spark):
     rows = [(0, [1.0, 0.0]), (20, [0.0, 2.0]), (1, [1.0, 1.0]), (2, None), (3, [0.0, 0.0]), (4, [1.0, None]), (5, [math.nan, 1.0]), (6, [math.inf, 1.0]), (7, []), (8, [1.0]), (None, [1.0, 1.0]), (1, [1.0, 1.0])]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
