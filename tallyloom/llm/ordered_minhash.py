@@ -31,6 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyloom.llm.batches import sliced
 from tallyloom.llm.components import components
 from tallyloom.operators.membership import may_be_listed, membership_anti_join, membership_bits
 from tallyloom.shared_folder import staged
@@ -48,7 +49,7 @@ LONG = [(0, 3, 32), (FEW, 6, 64), (96, 12, 160)]
 LANES = 16
 #: Longs of parities of shingles.
 PARITIES = 8
-KEPT_WORDS = 500_000
+KEPT_WORDS = 200_000
 
 _WORD = re.compile(r"\w+")
 
@@ -196,7 +197,7 @@ def _digest(text: str, words: np.ndarray) -> bytes:
 
 
 def _sketched(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in sliced(batches):
         digests, entries, shingles, parities = [], [], [], []
         for text in batch.column(2).to_pylist():
             words = words_of(text)
@@ -212,7 +213,7 @@ def _sketched(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _longer(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in sliced(batches):
         entries = [long_entries(words_of(t)) for t in batch.column(1).to_pylist()]
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(entries, pa.list_(pa.int64()))], names=["node", "entries"])
 

@@ -28,6 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyloom.llm.batches import sliced
 from tallyloom.llm.quality import labelled_texts
 from tallyloom.shared_folder import staged
 
@@ -161,7 +162,7 @@ def _features(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
     counts: dict[tuple[str, int], int] = {}
-    for batch in batches:
+    for batch in sliced(batches):
         for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             words = set(words_of(text or ""))
             for feature in words | {f"{w[:k]}*" for w in words for k in PREFIXES if k < len(w)}:
@@ -186,7 +187,7 @@ def _neighbourhoods(rows: DataFrame, entries: dict[str, float]) -> DataFrame:
     """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             found: set[tuple[str, int, int, int]] = set()
             for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 words = words_of(text or "")
@@ -260,7 +261,7 @@ def _exceptions(rows: DataFrame, entries: dict[str, float]) -> list[str]:
     """Word pairs around a hit that occur in clean texts only, at least ``MIN_DOCS`` times."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             phrases: list[str] = []
             labels: list[int] = []
             for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
@@ -282,7 +283,7 @@ def score_documents(docs: DataFrame, lexicon: Lexicon) -> DataFrame:
     dumped = lexicon.dump()
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             scores = [score(t, dumped) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(scores, pa.float64()), pa.array([int(s >= THRESHOLD) for s in scores], pa.int32())],
@@ -314,7 +315,7 @@ def keep_clean(docs: DataFrame, lexicon: Lexicon) -> DataFrame:
     at = names.index("text")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             yield batch.filter(pa.array([score(t, dumped) < THRESHOLD for t in batch.column(at).to_pylist()], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
