@@ -18,9 +18,13 @@ from tallyloom.functions.text import browser_dimension, platform_dimension, spli
 LAUNCH = "e_l"
 
 
-def exact(value: Column) -> Column:
-    """A double as a decimal, so that a sum does not depend on the order of the rows."""
-    return value.cast("decimal(28,6)")
+def exact(value: Column, precision: int = 28, scale: int = 6) -> Column:
+    """A double as a decimal, so that a sum does not depend on the order of the rows.
+
+    A value is rounded to ``scale`` places, and one with more than ``precision - scale`` digits before the point (22 unless
+    said otherwise) becomes null, or an error in ANSI mode.  A sum of such values has ten digits more.
+    """
+    return value.cast(f"decimal({precision},{scale})")
 
 
 def rounded_avg(value: Column, scale: int = 2) -> Column:

@@ -136,7 +136,8 @@ def word2vec_synonyms(
 ) -> DataFrame:
     """The words nearest to ``word``; ``col`` holds lists of words.
 
-    Spark would train in one task; here it is one for each core unless given.
+    Spark would train in one task; here it is one for each core unless given.  Vocabulary and vectors are on the driver:
+    100 numbers for each word that is there ``min_count`` times, so raise that for texts with very many different words.
     """
     trainer = Word2Vec(inputCol=col, outputCol="vector", minCount=min_count, seed=seed)
     trainer.setNumPartitions(partitions or df.sparkSession.sparkContext.defaultParallelism)
