@@ -3,8 +3,8 @@
 A byte goes if it is covered by a string of 50 bytes that also starts in a document with a smaller id.
 
 How the corpus is partitioned.  Every window of 50 bytes picks an anchor, the smallest (by hash, then leftmost) of
-its 16-byte grams; equal windows pick equal anchors wherever they are.  Neighbouring windows with one anchor form a
-strand of at most 84 bytes.  Anchors are dealt to shards by hash, so all occurrences of a window meet in one shard.
+its 24-byte grams; equal windows pick equal anchors wherever they are.  Neighbouring windows with one anchor form a
+strand of at most 76 bytes.  Anchors are dealt to shards by hash, so all occurrences of a window meet in one shard.
 
 1. Batches of documents send each shard their distinct anchors (32 bits each); the shard answers which occur in
    more than one document.
