@@ -17,6 +17,8 @@ from tallyloom.llm.registry import table
 from tallyloom.shared_folder import discard, recorded, staged
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+#: Rows that go to a Python worker at a time.  Documents are long, and each batch is held on both sides.
+BATCH_ROWS = "1000"
 #: What the last stage of an application staged for itself.
 _LEFT: dict[str, list[str]] = {}
 
@@ -29,6 +31,7 @@ def _tidy(stage: Stage) -> Stage:
         application = spark.sparkContext.applicationId
         left = _LEFT.pop(application, [])
         read = docs.inputFiles() if left else []
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
         discard(spark, [path for path in left if not any(path.rsplit("/", 1)[1] in file for file in read)])
         with recorded() as paths:
             out = stage(spark, docs, sf_dir)
