@@ -15,7 +15,7 @@ import math
 import random
 import struct
 import zlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -61,6 +61,11 @@ class LibraryEncoder(Encoder):
         return out
 
 
+@functools.cache
+def _packer(n: int) -> Callable[..., bytes]:
+    return struct.Struct(f"<{n}I").pack
+
+
 @functools.lru_cache(maxsize=2)
 def library_encoder(path: str | None) -> LibraryEncoder:
     return LibraryEncoder(path or vocabulary_path())
@@ -86,8 +91,11 @@ def token_pieces(docs: DataFrame, capacity: int = CAPACITY, end_id: int = 0, wit
                 # Only the distinct words of a chunk are looked at one by one.
                 fresh = set().union(*words).difference(packed)
                 coder.learn(fresh)
-                packed.update((w, struct.pack(f"<{len(coder.kept[w])}I", *coder.kept[w])) for w in fresh)
-                row, piece, start, length, crc, ids = [], [], [], [], [], []
+                kept = coder.kept
+                for w in fresh:
+                    ids = kept[w]
+                    packed[w] = _packer(len(ids))(*ids)
+                row, piece, start, length, crc, parts = [], [], [], [], [], []
                 for i, ws in enumerate(words):
                     data = b"".join(map(packed.__getitem__, ws)) + end
                     for k, at in enumerate(range(0, len(data), 4 * capacity)):
@@ -98,14 +106,14 @@ def token_pieces(docs: DataFrame, capacity: int = CAPACITY, end_id: int = 0, wit
                         length.append(len(part) // 4)
                         crc.append(zlib.crc32(part))
                         if with_ids:
-                            ids.append(np.frombuffer(part, "<i4"))
+                            parts.append(np.frombuffer(part, "<i4"))
                 columns = [
                     batch.column(0).take(pa.array(row, pa.int64())), pa.array(piece, pa.int32()),
                     *(pa.array(x, pa.int64()) for x in (start, length, crc)),
                 ]
                 names = ["doc_id", "piece", "start", "length", "ids_crc32"]
                 if with_ids:
-                    columns.append(pa.array(ids, pa.list_(pa.int32())))
+                    columns.append(pa.array(parts, pa.list_(pa.int32())))
                     names.append("ids")
                 yield pa.RecordBatch.from_arrays(columns, names=names)
 
