@@ -46,25 +46,28 @@ class RunIndex:
         self.wide_of = np.cumsum(new_wide) - 1
         bwt = text[order - 1]
         heads = np.flatnonzero(np.r_[True, (bwt[1:] != bwt[:-1]) | new_context[1:]])
-        self.run_start = heads
         self.run_byte = bwt[heads].astype(np.int64)
         lengths = np.diff(np.r_[heads, n])
         self.run_end_owner = owner[order[np.r_[heads[1:], n] - 1]]
-        by_byte = np.lexsort((np.arange(len(heads)), self.run_byte))
+        by_byte = np.argsort(self.run_byte, kind="stable")
         self.runs = len(heads)
         self.keys = self.run_byte[by_byte] * self.runs + by_byte
+        # Runs are sorted by byte, so the lengths before a byte's runs are the bytes that are smaller.
         self.before = np.r_[0, np.cumsum(lengths[by_byte])]
-        counts = np.bincount(text, minlength=256)
-        self.less = np.r_[0, np.cumsum(counts)][:256]
+        # The row behind the last one is a run of its own, of no byte.
+        self.run_of = np.repeat(np.arange(self.runs + 1, dtype=np.int32), np.r_[lengths, 1])
+        self.run_byte = np.r_[self.run_byte, 256]
+        self.moved = np.zeros(self.runs + 1, np.int64)
+        self.moved[by_byte] = self.before[:-1] - heads[by_byte]
 
     def _step(self, byte: np.ndarray, row: np.ndarray) -> np.ndarray:
         """Where the rows before ``row`` that are preceded by ``byte`` end, in the order of the transform."""
-        run = np.searchsorted(self.run_start, row, "right") - 1
-        at = np.searchsorted(self.keys, byte * self.runs + run)
-        # Runs are sorted by byte, so the lengths before a byte's runs are the bytes that are smaller.
-        inside = np.where((self.run_byte[run] == byte) & (row < self.n), row - self.run_start[run], 0)
-        whole = np.where(row < self.n, self.before[at], self.before[np.searchsorted(self.keys, byte * self.runs + self.runs)])
-        return whole + inside
+        run = self.run_of[row]
+        out = row + self.moved[run]
+        # Only a row in a run of another byte needs a search: for the next run of its byte.
+        other = np.flatnonzero(self.run_byte[run] != byte)
+        out[other] = self.before[np.searchsorted(self.keys, byte[other] * self.runs + run[other])]
+        return out
 
     def smallest_owners(self, text: np.ndarray, start: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """For every window of every string: its smallest owner.  Returns (values, offset of each string's first).
@@ -88,6 +91,5 @@ class RunIndex:
             lo, hi = self._step(byte, lo), self._step(byte, hi)
             low[:k], high[:k] = lo, hi
             if t >= DEPTH - 1:
-                run = np.searchsorted(self.run_start, hi - 1, "right") - 1
-                values[first[:k] + length[:k] - 1 - t] = self.run_end_owner[run]
+                values[first[:k] + length[:k] - 1 - t] = self.run_end_owner[self.run_of[hi - 1]]
         return values, offset

@@ -33,9 +33,9 @@ GRAM = 24
 #: Bytes of the documents of one batch, on average; a longer document is a batch of its own.
 BATCH_BYTES = 4_000_000
 #: Bytes that are worked on at a time; positions must fit 24 bits.
-PIECE_BYTES = 1_000_000
+PIECE_BYTES = 250_000
 #: Strand bytes of one run-length index.
-INDEX_BYTES = 2_000_000
+INDEX_BYTES = 500_000
 NO_ID = np.iinfo(np.int64).max
 
 
@@ -72,15 +72,17 @@ def strands(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     hashes = _grams(data)
     low = np.uint64(0xFFFFFF)
     keys = (hashes & ~low) | np.arange(len(data), dtype=np.uint64)
-    anchor = (_smallest(keys[: len(data) - GRAM + 1], DEPTH - GRAM + 1) & low).astype(np.int64)
-    at = np.arange(len(anchor))
-    whole = at + DEPTH <= ends[np.searchsorted(ends, at, "right")]
-    at = at[whole]
-    if not len(at):
-        return at, at, np.zeros(0, np.uint64)
-    anchor = anchor[at]
-    heads = np.flatnonzero(np.r_[True, (anchor[1:] != anchor[:-1]) | (at[1:] != at[:-1] + 1)])
-    return at[heads], np.diff(np.r_[heads, len(at)]), _mixed(hashes[anchor[heads]])
+    smallest = _smallest(keys[: len(data) - GRAM + 1], DEPTH - GRAM + 1)
+    begins = np.r_[0, ends[:-1]]
+    last = np.maximum(begins, ends - DEPTH + 1)  # behind the last window of each text
+    edge = np.r_[True, smallest[1:] != smallest[:-1], True]
+    edge[begins[begins < len(smallest)]] = True
+    edge[last[last < len(smallest)]] = True
+    heads = np.flatnonzero(edge)
+    windows, heads = np.diff(heads), heads[:-1]
+    whole = heads < last[np.searchsorted(ends, heads, "right")]
+    heads = heads[whole]
+    return heads, windows[whole], _mixed(hashes[(smallest[heads] & low).astype(np.int64)])
 
 
 class Batch:

@@ -3,9 +3,10 @@
 import hashlib
 import random
 
+import numpy as np
 import pytest
 
-from tallyloom.llm import suffixes
+from tallyloom.llm import runindex, suffixes
 
 
 def brute(rows):
@@ -78,3 +79,24 @@ def test_cut_documents(spark):
 def test_documents_are_dealt_once(spark, plan):
     text = plan(suffixes.repeated_spans(spark.createDataFrame([(1, "a")], "doc_id long, text string")))
     assert text.count("xxhash64(doc_id") >= 1
+
+
+def test_rows_in_a_run_of_the_byte_need_no_search(monkeypatch):
+    rng = random.Random(4)
+    base = bytes(rng.choice(b"abcdefgh") for _ in range(76))
+    strings = [base[:i] + bytes([rng.choice(b"xyz")]) + base[i + 1 :] for i in range(0, 76, 2) for _ in range(8)]
+    length = np.array([len(s) for s in strings])
+    start = np.r_[0, np.cumsum(length + 1)[:-1]]
+    text = np.frombuffer(b"".join(s + b"\xff" for s in strings), np.uint8)
+    index = runindex.RunIndex(text, np.repeat(np.arange(len(strings)), length + 1))
+    searched, stepped = [], []
+    search, step = np.searchsorted, index._step
+    monkeypatch.setattr(runindex.np, "searchsorted", lambda a, v, *rest: searched.append(np.size(v)) or search(a, v, *rest))
+    monkeypatch.setattr(index, "_step", lambda byte, row: stepped.append(len(row)) or step(byte, row))
+    values, offset = index.smallest_owners(text, start, length)
+    least = {}
+    for i, s in enumerate(strings):
+        for j in range(len(s) - 49):
+            least.setdefault(s[j : j + 50], i)
+    assert [least[s[j : j + 50]] for s in strings for j in range(len(s) - 49)] == values.tolist()
+    assert sum(searched) < 0.5 * sum(stepped)
