@@ -116,15 +116,19 @@ class Encoder:
         wanted = set(words)
         if len(self.kept) + len(wanted) > KEPT_WORDS:
             self.older, self.kept = self.kept, {}
-        fresh = wanted - self.kept.keys()
-        again = fresh & self.older.keys()
+        # In time of the words asked for, not of those kept.
+        fresh = wanted.difference(self.kept)
+        again = {w for w in fresh if w in self.older}
         self.kept.update((w, self.older[w]) for w in again)
         fresh -= again
         tokens = {w for w in fresh if w[0] == "\0" and w[1:] in self.added}
-        self.kept.update((w, (self.added[w[1:]],)) for w in tokens)
+        self.kept.update((w, self._token(w[1:])) for w in tokens)
         plain = sorted(fresh - tokens)
         self.kept.update(zip(plain, self._merged(plain), strict=True))
 
+    def _token(self, word: str) -> tuple[int, ...]:
+        return (self.added[word],)
+
     def _merged(self, words: list[str]) -> list[tuple[int, ...]]:
         symbols: list[int] = []
         starts = []

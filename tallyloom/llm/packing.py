@@ -11,21 +11,24 @@ one shard is left, so the shards' last, half-empty sequences do not add up.
 from __future__ import annotations
 
 import functools
+import itertools
 import math
 import random
-import struct
 import zlib
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.llm.bpe import KEPT_WORDS, Encoder, chunks, vocabulary_path
+from tallyloom.llm.batches import sliced
+from tallyloom.llm.bpe import Encoder, chunks, vocabulary_path
 from tallyloom.shared_folder import staged
 
 CAPACITY = 2048
+#: New words that the library encodes at a time.
+WORDS_AT_ONCE = 5000
 SHARD_PIECES = 20_000
 ISLANDS = 3
 EPOCHS = 2
@@ -36,34 +39,53 @@ DISSOLVED = 0.05
 
 
 class LibraryEncoder(Encoder):
-    """Words are split and kept as the encoder does; the ids of new words come from the ``tokenizers`` library."""
+    """Words are split as the encoder does; their ids come from the ``tokenizers`` library and are kept as bytes.
+
+    A word met again costs a look-up: its ids are kept as the four bytes each that a checksum reads, once for all
+    tasks of a worker.
+    """
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
         super().__init__(path)
         self.library = Tokenizer.from_file(path)
-
-    def _merged(self, words: list[str]) -> list[tuple[int, ...]]:
-        out: list[tuple[int, ...]] = []
-        for a in range(0, len(words), 1000):
-            some = words[a : a + 1000]
-            word: list[int] = []
-            found = []
-            for i in self.library.encode(" ".join(some), add_special_tokens=False).ids:
-                word.append(i)
-                if i in self.ends:
-                    found.append(tuple(word))
-                    word = []
-            if word or len(found) != len(some):  # a word that does not stand for itself among others
-                found = [tuple(self.library.encode(w, add_special_tokens=False).ids) for w in some]
-            out += found
+        self.ending = np.zeros(max(self.strings) + 1, bool)
+        self.ending[list(self.ends)] = True
+        # The library merges and decodes; what that takes here is not held twice.
+        self.strings, self.ranks, self.pairs = {}, {}, {}
+
+    def _ids(self, text: str) -> np.ndarray:
+        return np.array(self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+
+    def _token(self, word: str) -> bytes:
+        return np.array([self.added[word]], "<u4").tobytes()
+
+    def _merged(self, words: list[str]) -> list[bytes]:
+        out: list[bytes] = []
+        for a in range(0, len(words), WORDS_AT_ONCE):
+            some = words[a : a + WORDS_AT_ONCE]
+            ids = self._ids(" ".join(some))
+            cuts = [0, *(4 * np.flatnonzero(self.ending[ids]) + 4).tolist()]
+            if len(cuts) - 1 != len(some) or cuts[-1] != 4 * len(ids):  # a word that does not stand for itself among others
+                out += [self._ids(w).tobytes() for w in some]
+            else:
+                data = ids.tobytes()
+                out += [data[a:b] for a, b in itertools.pairwise(cuts)]
         return out
 
+    def packed(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text, little-endian and of four bytes."""
+        words = [self.split(t) for t in texts]
+        self.learn(set().union(*words))
+        kept = self.kept
+        return [b"".join(map(kept.__getitem__, ws)) for ws in words]
 
-@functools.cache
-def _packer(n: int) -> Callable[..., bytes]:
-    return struct.Struct(f"<{n}I").pack
+    def encode(self, text: str) -> list[int]:
+        return np.frombuffer(self.packed([text])[0], "<u4").tolist()
+
+    def decode(self, ids: Iterable[int]) -> str:
+        raise NotImplementedError("the ids of this encoder are decoded by bpe.Encoder")
 
 
 @functools.lru_cache(maxsize=2)
@@ -80,27 +102,16 @@ def token_pieces(docs: DataFrame, capacity: int = CAPACITY, end_id: int = 0, wit
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = library_encoder(path)
-        packed: dict[str, bytes] = {}
         end = np.array([end_id], "<u4").tobytes()
-        for batch in batches:
-            texts = batch.column(1).to_pylist()
+        for batch in sliced(batches):
+            texts = [t or "" for t in batch.column(1).to_pylist()]
             for a, b in chunks(texts):
-                words = [coder.split(t or "") for t in texts[a:b]]
-                if len(packed) > KEPT_WORDS:
-                    packed.clear()
-                # Only the distinct words of a chunk are looked at one by one.
-                fresh = set().union(*words).difference(packed)
-                coder.learn(fresh)
-                kept = coder.kept
-                for w in fresh:
-                    ids = kept[w]
-                    packed[w] = _packer(len(ids))(*ids)
                 row, piece, start, length, crc, parts = [], [], [], [], [], []
-                for i, ws in enumerate(words):
-                    data = b"".join(map(packed.__getitem__, ws)) + end
+                for i, ids in enumerate(coder.packed(texts[a:b]), a):
+                    data = ids + end
                     for k, at in enumerate(range(0, len(data), 4 * capacity)):
                         part = data[at : at + 4 * capacity]
-                        row.append(a + i)
+                        row.append(i)
                         piece.append(k)
                         start.append(at // 4)
                         length.append(len(part) // 4)

@@ -68,3 +68,19 @@ def test_library_words_equal_the_pair_index():
     own, library = bpe.Encoder(bpe.vocabulary_path()), packing.LibraryEncoder(bpe.vocabulary_path())
     text = "Don't you'll ''s '' ' 'sx ab12 <|endoftext|> é日本🎉 ... -- a\0b \x1c ẞ ΣΑΣ " + " ".join(f"w{i}ord" for i in range(1500))
     assert own.encode(text) == library.encode(text) == library.library.encode(text, add_special_tokens=False).ids
+
+
+class Unlisted(dict):
+    def keys(self):
+        raise AssertionError("all kept words were looked at")
+
+
+def test_new_words_cost_no_look_at_all_kept_ones(monkeypatch):
+    coder = packing.LibraryEncoder(bpe.vocabulary_path())
+    coder.kept, coder.older = Unlisted(), Unlisted()
+    texts = ["one two three <|endoftext|> four", "", "five one \u00e9 six", "two"]
+    want = [np.array(coder.library.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    assert coder.packed(texts) == want
+    assert all(type(ids) is bytes for ids in coder.kept.values())  # once for all tasks, without an object an id
+    monkeypatch.setattr(bpe, "KEPT_WORDS", 3)
+    assert [coder.packed([t])[0] for t in texts * 2] == want * 2 == coder.packed(texts * 2)
