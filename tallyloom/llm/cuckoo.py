@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyloom.llm.workers import task_of
 from tallyloom.operators.membership import membership_anti_join, membership_bits
 from tallyloom.shared_folder import staged
 
@@ -134,6 +135,7 @@ def _order(points: int, doc_id: int | None, row_id: int) -> tuple:
 
 
 def _folded(shards: int):
+    @task_of("exact dedup")
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             best: dict[bytes, list] = {}

@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.llm.batches import sliced
 from tallyloom.llm.components import components
+from tallyloom.llm.workers import kept_by, task_of
 from tallyloom.operators.membership import may_be_listed, membership_anti_join, membership_bits
 from tallyloom.shared_folder import staged
 
@@ -63,6 +64,7 @@ class _Hashes(dict):
 
 
 _hashes = _Hashes()
+kept_by("near-duplicates", _hashes.clear)
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -196,6 +198,7 @@ def _digest(text: str, words: np.ndarray) -> bytes:
     return xxhash.xxh128_digest(words.tobytes()) if len(words) else xxhash.xxh128_digest(b"\0" + text.encode())
 
 
+@task_of("near-duplicates")
 def _sketched(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in sliced(batches):
         digests, entries, shingles, parities = [], [], [], []
@@ -212,12 +215,14 @@ def _sketched(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+@task_of("near-duplicates")
 def _longer(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in sliced(batches):
         entries = [long_entries(words_of(t)) for t in batch.column(1).to_pylist()]
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(entries, pa.list_(pa.int64()))], names=["node", "entries"])
 
 
+@task_of("near-duplicates")
 def _verified(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     said, known = None, None
     for batch in batches:

@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.llm.batches import sliced
 from tallyloom.llm.bpe import Encoder, chunks, vocabulary_path
+from tallyloom.llm.workers import kept_by, task_of
 from tallyloom.shared_folder import staged
 
 CAPACITY = 2048
@@ -93,6 +94,9 @@ def library_encoder(path: str | None) -> LibraryEncoder:
     return LibraryEncoder(path or vocabulary_path())
 
 
+kept_by("packing", library_encoder.cache_clear)
+
+
 def token_pieces(docs: DataFrame, capacity: int = CAPACITY, end_id: int = 0, with_ids: bool = False, path: str | None = None) -> DataFrame:
     """The pieces of every document: its token ids and ``end_id``, cut only if longer than ``capacity``.
 
@@ -100,6 +104,7 @@ def token_pieces(docs: DataFrame, capacity: int = CAPACITY, end_id: int = 0, wit
     that holds ``end_id`` alone.  Rows are taken as they come: a repeated row gives its pieces twice.
     """
 
+    @task_of("packing")
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = library_encoder(path)
         end = np.array([end_id], "<u4").tobytes()
@@ -231,6 +236,7 @@ def _groups(assigned: list[int]) -> list[list[int]]:
 
 
 def _island(capacity: int, epoch: int):
+    @task_of("packing")
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for shard, island, sizes, elites in zip(*(c.to_pylist() for c in batch.columns), strict=True):

@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.llm.runindex import DEPTH, SEPARATOR, RunIndex
+from tallyloom.llm.workers import in_turn
 
 GRAM = 24
 #: Bytes of the documents of one batch, on average; a longer document is a batch of its own.
@@ -354,11 +355,13 @@ def _exchanged(docs: DataFrame, extra: list[str]) -> tuple[DataFrame, int]:
 def _run(docs: DataFrame, extra: list[str], schema: str, finish) -> DataFrame:
     dealt, shards = _exchanged(docs, extra)
     names = [c.split()[0] for c in schema.split(", ")]
+    one = lambda f: lambda rows: in_turn("repeats", f, rows)
+    two = lambda f: lambda rows, replies: in_turn("repeats", f, rows, replies)
     by_batch = dealt.groupBy("batch")
-    bits = by_batch.applyInPandas(_send_anchors(shards), ANCHORS).groupBy("shard").applyInPandas(_answer_anchors, BITS)
-    strands_sent = by_batch.cogroup(bits.groupBy("batch")).applyInPandas(_send_strands(shards), STRANDS)
-    replies = bits.unionByName(strands_sent.groupBy("shard").applyInPandas(_answer_strands, BITS))
-    return by_batch.cogroup(replies.groupBy("batch")).applyInPandas(_cut(shards, names, finish), schema)
+    bits = by_batch.applyInPandas(one(_send_anchors(shards)), ANCHORS).groupBy("shard").applyInPandas(one(_answer_anchors), BITS)
+    strands_sent = by_batch.cogroup(bits.groupBy("batch")).applyInPandas(two(_send_strands(shards)), STRANDS)
+    replies = bits.unionByName(strands_sent.groupBy("shard").applyInPandas(one(_answer_strands), BITS))
+    return by_batch.cogroup(replies.groupBy("batch")).applyInPandas(two(_cut(shards, names, finish)), schema)
 
 
 def repeated_spans(docs: DataFrame) -> DataFrame:

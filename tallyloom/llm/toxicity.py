@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.llm.batches import sliced
 from tallyloom.llm.quality import labelled_texts
+from tallyloom.llm.workers import kept_by, task_of
 from tallyloom.shared_folder import staged
 
 #: Letters that look like a Latin one.
@@ -118,6 +119,9 @@ def _matcher(dumped: str) -> tuple[Lexicon, ahocorasick.Automaton | None]:
     return lexicon, automaton
 
 
+kept_by("toxicity", _matcher.cache_clear)
+
+
 def hits(text: str, dumped: str) -> tuple[dict[str, int], float, int]:
     """Entries with their numbers of hits, their weighted sum, and the number of words."""
     lexicon, automaton = _matcher(dumped)
@@ -152,6 +156,7 @@ def score(text: str | None, dumped: str) -> float:
     return 1 / (1 + math.exp(-max(-30.0, min(30.0, x))))
 
 
+@task_of("toxicity")
 def _features(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(feature, toxic, docs): distinct words and word beginnings of each text, counted once a text and summed in the task."""
 
@@ -186,6 +191,7 @@ def _neighbourhoods(rows: DataFrame, entries: dict[str, float]) -> DataFrame:
     two words of the text.  Marks are counted once, so copies of a text count as one, and so do most of its edited copies.
     """
 
+    @task_of("toxicity")
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches):
             found: set[tuple[str, int, int, int]] = set()
@@ -260,6 +266,7 @@ def learn(labelled: DataFrame) -> Lexicon:
 def _exceptions(rows: DataFrame, entries: dict[str, float]) -> list[str]:
     """Word pairs around a hit that occur in clean texts only, at least ``MIN_DOCS`` times."""
 
+    @task_of("toxicity")
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches):
             phrases: list[str] = []
@@ -282,6 +289,7 @@ def score_documents(docs: DataFrame, lexicon: Lexicon) -> DataFrame:
     """doc_id, score, predicted of every row; the score depends on the text alone."""
     dumped = lexicon.dump()
 
+    @task_of("toxicity")
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches):
             scores = [score(t, dumped) for t in batch.column(1).to_pylist()]
@@ -314,6 +322,7 @@ def keep_clean(docs: DataFrame, lexicon: Lexicon) -> DataFrame:
     names = docs.columns
     at = names.index("text")
 
+    @task_of("toxicity")
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches):
             yield batch.filter(pa.array([score(t, dumped) < THRESHOLD for t in batch.column(at).to_pylist()], pa.bool_()))
