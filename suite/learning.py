@@ -27,8 +27,13 @@ tokens AS (
                                 lambda x: regexp_replace(lower(x), '[,.]', '', 'g')) AS w FROM documents)"""
 
 
-def _train(spark, sf_dir):
-    return ml.als_train(ratings(spark, sf_dir), iters=_ROUNDS)
+def _rated(spark, sf_dir):
+    """The ratings, joined once and written: training and what is compared read them several times."""
+    return staged(ratings(spark, sf_dir), "ratings")
+
+
+def _train(rows):
+    return ml.als_train(rows, iters=_ROUNDS)
 
 
 def _product(left: str, right: str) -> F.Column:
@@ -53,7 +58,7 @@ def _solved(model, rows):
 @query("als_train", with_ctes(RATINGS) + "SELECT DISTINCT user_id, true AS solved, true AS scored FROM ratings")
 def _als_train(spark, sf_dir):
     """Every user's factors solve their equations, and the model's error is that of the products of its factors."""
-    rows = ratings(spark, sf_dir)
+    rows = _rated(spark, sf_dir)
     model, metrics = train_and_score(rows, iters=_ROUNDS)
     joined = rows.join(_factors(model, "item", "q"), "item_id").join(_factors(model, "user", "p"), "user_id")
     error = _product("p", "q") - F.col("rating")
@@ -69,8 +74,9 @@ def _als_train(spark, sf_dir):
          UNION ALL SELECT 'item', item_id, 10, NULL FROM (SELECT DISTINCT item_id FROM ratings)""",
 )
 def _als_factors(spark, sf_dir):
-    model = _train(spark, sf_dir)
-    solved = _solved(model, ratings(spark, sf_dir)).select(F.lit("user").alias("kind"), F.col("user_id").alias("id"), "solved")
+    rows = _rated(spark, sf_dir)
+    model = _train(rows)
+    solved = _solved(model, rows).select(F.lit("user").alias("kind"), F.col("user_id").alias("id"), "solved")
     sized = ml.als_factors(model).select("kind", "id", F.size("features").alias("size"))
     return sized.join(solved, ["kind", "id"], "left")
 
@@ -82,6 +88,7 @@ def _lists(model, best, rows, kind, other):
     """
     mine, theirs = _factors(model, kind, "mine"), _factors(model, other, "theirs")
     entries = best.select(f"{kind}_id", F.posexplode("recommendations").alias("place", "r")).select(f"{kind}_id", "place", f"r.{other}_id", "r.rating")
+    entries = staged(entries, "entries")
     scored = entries.join(mine, f"{kind}_id").join(theirs, f"{other}_id").withColumn("product", _product("mine", "theirs"))
     near = F.abs(F.col("rating") - F.col("product")) <= 1e-4 * (1 + F.abs("product"))
     order = F.array_sort(F.collect_list(F.struct("place", "rating")))["rating"]
@@ -102,8 +109,9 @@ def _lists(model, best, rows, kind, other):
          true AS is_product, true AS falls, true AS has_best FROM (SELECT DISTINCT user_id FROM ratings)""",
 )
 def _recommend_for_all_users(spark, sf_dir):
-    model = _train(spark, sf_dir)
-    return _lists(model, ml.recommend_for_all_users(model), ratings(spark, sf_dir), "user", "item")
+    rows = _rated(spark, sf_dir)
+    model = _train(rows)
+    return _lists(model, ml.recommend_for_all_users(model), rows, "user", "item")
 
 
 @query(
@@ -113,8 +121,9 @@ def _recommend_for_all_users(spark, sf_dir):
          true AS is_product, true AS falls, true AS has_best FROM (SELECT DISTINCT item_id FROM ratings)""",
 )
 def _recommend_for_all_items(spark, sf_dir):
-    model = _train(spark, sf_dir)
-    return _lists(model, ml.recommend_for_all_items(model), ratings(spark, sf_dir), "item", "user")
+    rows = _rated(spark, sf_dir)
+    model = _train(rows)
+    return _lists(model, ml.recommend_for_all_items(model), rows, "item", "user")
 
 
 @query(
@@ -127,7 +136,7 @@ def _recommend_for_all_items(spark, sf_dir):
 )
 def _recommend_for_one(spark, sf_dir):
     """For user 1 and for item 1: each score is a product of factors, and at each place none is better."""
-    model = _train(spark, sf_dir)
+    model = _train(_rated(spark, sf_dir))
 
     def side(kind, other):
         one = _factors(model, kind, "mine").where(F.col(f"{kind}_id") == 1).first()
@@ -149,8 +158,9 @@ def _recommend_for_one(spark, sf_dir):
     with_ctes(RATINGS) + "SELECT DISTINCT user_id, item_id, true AS is_product FROM ratings",
 )
 def _als_predict(spark, sf_dir):
-    model = _train(spark, sf_dir)
-    pairs = ratings(spark, sf_dir).select("user_id", "item_id").distinct()
+    rows = _rated(spark, sf_dir)
+    model = _train(rows)
+    pairs = rows.select("user_id", "item_id").distinct()
     scored = ml.als_predict(model, pairs).join(_factors(model, "item", "q"), "item_id").join(_factors(model, "user", "p"), "user_id")
     product = _product("p", "q")
     near = F.abs(F.col("prediction") - product) <= 1e-4 * (1 + F.abs(product))
@@ -181,7 +191,7 @@ def _regression_metrics(spark, sf_dir):
 )
 def _save_load_model(spark, sf_dir):
     """The factors before and after."""
-    model = _train(spark, sf_dir)
+    model = _train(_rated(spark, sf_dir))
     loaded = ml.als_factors(ml.save_load_model(model, new_path(spark, "model"))).withColumnRenamed("features", "loaded")
     both = ml.als_factors(model).join(loaded, ["kind", "id"], "full")
     return both.select("kind", "id", F.col("features").eqNullSafe(F.col("loaded")).alias("same"))

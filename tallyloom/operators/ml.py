@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.functions.text import split_words
+from tallyloom.operators.best_products import best_products
 
 # News categories and their numbers.
 NEWS_LABELS = {"b": 0.0, "t": 1.0, "e": 2.0, "m": 3.0}
@@ -57,7 +58,8 @@ def recommend_for_all_users(model: ALSModel, n: int = 10) -> DataFrame:
 
 
 def recommend_for_all_items(model: ALSModel, n: int = 10) -> DataFrame:
-    return model.recommendForAllItems(n)
+    """The n best users of each item."""
+    return best_products(model.itemFactors, model.userFactors, n, model.getItemCol(), model.getUserCol())
 
 
 def recommend_for_one(model: ALSModel, id: int, n: int = 10, kind: str = "user") -> DataFrame:
