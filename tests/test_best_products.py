@@ -59,7 +59,7 @@ def test_fewer_than_asked_for(spark):
 def test_recommendations_do_not_join_all_pairs(spark, plan):
     rows = [(u, i, float((u * 3 + i * 5) % 5 + 1)) for u in range(30) for i in range(20) if (u + i) % 3]
     model = ml.als_train(spark.createDataFrame(rows, "user_id int, item_id int, rating double"), iters=2)
-    for found, given in ((ml.recommend_for_all_items(model, 4), model.recommendForAllItems(4)),):
+    for found, given in ((ml.recommend_for_all_users(model, 4), model.recommendForAllUsers(4)), (ml.recommend_for_all_items(model, 4), model.recommendForAllItems(4))):
         text = plan(found)
         assert "NestedLoopJoin" not in text and "CartesianProduct" not in text
         ratings = lambda df: {r[0]: pytest.approx([x.rating for x in r[1]], rel=1e-4) for r in df.collect()}
