@@ -65,3 +65,9 @@ def test_recommendations_do_not_join_all_pairs(spark, plan):
         ratings = lambda df: {r[0]: pytest.approx([x.rating for x in r[1]], rel=1e-4) for r in df.collect()}
         assert {k: v for k, v in ((r[0], [x.rating for x in r[1]]) for r in found.collect())} == ratings(given)
         assert dict(found.dtypes).keys() == dict(given.dtypes).keys() and found.schema[1].dataType.simpleString() == given.schema[1].dataType.simpleString()
+
+
+def test_blocks_follow_the_rows(spark):
+    rows = spark.createDataFrame([(u, i, float(u % 5)) for u in range(60) for i in range(40)], "user_id int, item_id int, rating double")
+    assert ml.als_train(rows, iters=1, block_rows=100).userFactors.rdd.getNumPartitions() == 24
+    assert ml.als_train(rows, iters=1, blocks=5, block_rows=100).userFactors.rdd.getNumPartitions() == 5
