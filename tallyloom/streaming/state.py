@@ -7,12 +7,17 @@ task before the state is read.
 
 from __future__ import annotations
 
+from typing import TYPE_CHECKING
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.operators.aggregates import exact, word_count
 from tallyloom.streaming.windows import milliseconds, seconds
 
+if TYPE_CHECKING:
+    import pandas as pd
+
 DAY_PATTERN = "yyyyMMdd"
 STATE_KEYS = ("date", "province", "city", "ad_id")
 
@@ -157,25 +162,26 @@ def ad_click_state_expiring_updates(
     )
 
 
-def merged_periods(periods: list[tuple[int, int, int]], idle: int) -> list[tuple[int, int, int]]:
-    """(first, last, clicks) of periods; those that lie no further apart than ``idle`` become one."""
-    merged: list[tuple[int, int, int]] = []
-    for first, last, n in sorted(periods):
-        if merged and first <= merged[-1][1] + idle:
-            before = merged.pop()
-            first, last, n = before[0], max(before[1], last), before[2] + n
-        merged.append((first, last, n))
-    return merged
+def merged_periods(periods: pd.DataFrame, idle: int) -> pd.DataFrame:
+    """``key``, ``first``, ``last`` and ``n`` of periods; those of a key that lie no further apart than ``idle`` become one.
+
+    ``part`` numbers the merged periods in the order of key and start: it is there for each of the given ones, too.
+    """
+    periods = periods.sort_values(["key", "first"], kind="stable", ignore_index=True)
+    reach = periods.groupby("key", sort=False)["last"].cummax()
+    before = reach.groupby(periods["key"], sort=False).shift()
+    return periods.assign(part=(~(periods["first"] <= before + idle)).cumsum())
 
 
 def ad_click_periods(
-    df: DataFrame, idle: str = "36 seconds", ts: str = "ts", lateness: str = "0 seconds"
+    df: DataFrame, idle: str = "36 seconds", ts: str = "ts", lateness: str = "0 seconds", parts: int = 64
 ) -> DataFrame:
     """The same periods, each with its running count as soon as a batch has clicks of it.
 
     Spark gives session windows of a stream only when they are over.  Where the count has to be seen before, this
-    function keeps the open periods of a key in a state of their own, which costs far more for each key: prefer
-    ``ad_click_state_expiring`` where the end of a period is soon enough.
+    function keeps the open periods in a Python state.  A call for each key would cost a millisecond or more, so keys
+    are dealt to ``parts`` and a call merges all periods of a part at once; a part's open periods are one value of the
+    state, about 100 bytes each.  Take more parts for batches of very many clicks; a checkpoint keeps to its number.
 
     ``df`` is a stream, ``ts`` a timestamp.  Clicks are reduced to periods within each Arrow batch, before the shuffle,
     so the state function of a hot key gets a few partial counts and not all its clicks; a gap is seen wherever it lies.
@@ -188,70 +194,78 @@ def ad_click_periods(
     idle_us = 1000 * milliseconds(idle)
     keys, gone = list(STATE_KEYS), "_gone"
     day = F.date_format(ts, DAY_PATTERN).alias("date")
-    micros = F.unix_micros(F.col(ts).cast("timestamp")).alias("last_us")
-    clicks = df.select(day, "province", "city", "ad_id", F.col(ts).alias("last_ts"), micros)
-    ad_type = clicks.schema["ad_id"].dataType.simpleString()
-    key_schema = f"date string, province string, city string, ad_id {ad_type}"
+    micros = F.unix_micros(F.col(ts).cast("timestamp")).alias("last")
+    named = df.select(day, "province", "city", "ad_id", F.col(ts).alias("last_ts"), micros)
+    key_type = named.select(*keys).schema.simpleString()
+    # Texts: Python would turn numbers into others where one is null.
+    clicks = named.select(F.to_json(F.struct(*keys)).alias("key"), "last_ts", "last")
 
     def reduce(batches):
         for rows in batches:
-            rows = rows.sort_values([*keys, "last_us"], kind="stable")
-            groups = rows.groupby(keys, sort=False, dropna=False)
-            opens = ~(groups["last_us"].diff() <= idle_us)
-            parts = rows.groupby(opens.cumsum(), sort=False)
-            out = parts[keys].head(1).reset_index(drop=True)
-            out["last_ts"] = parts["last_ts"].max().to_numpy()
-            out["first_us"], out["last_us"], out["n"] = (getattr(parts["last_us"], f)().to_numpy() for f in ("min", "max", "size"))
-            yield out
+            rows = rows.sort_values(["key", "last"], kind="stable")
+            opens = ~(rows.groupby("key", sort=False)["last"].diff() <= idle_us)
+            periods = rows.groupby(opens.cumsum(), sort=False)
+            yield periods.agg(key=("key", "first"), last_ts=("last_ts", "max"), first=("last", "min"), last=("last", "max"), n=("last", "size"))
 
     class Periods(StatefulProcessor):
         def init(self, handle) -> None:
             self.handle = handle
-            self.open = handle.getListState("open", "first long, last long, n long")
+            self.open = handle.getValueState("open", "periods binary")
 
         def handleInputRows(self, key, rows, timerValues):
             import pandas as pd
 
-            before = [tuple(p) for p in self.open.get()] if self.open.exists() else []
-            new = [p for part in rows for p in zip(part["first_us"].tolist(), part["last_us"].tolist(), part["n"].tolist(), strict=True)]
-            after = merged_periods(before + new, idle_us)
-            self.open.put(after)
-            self._wake(after, timerValues)
-            touched = [p for p in after if p not in before]
-            starts = {p[0] for p in after}
-            lost = [p for p in before if p[0] not in starts]
-            rows_out = [(*key, *p, False) for p in touched] + [(*key, *p, True) for p in lost]
-            yield pd.DataFrame(rows_out, columns=[*keys, "first_us", "last_us", "click_count", gone])
+            before = self._load()
+            new = pd.concat([part[["key", "first", "last", "n"]] for part in rows])
+            periods = merged_periods(pd.concat([before.assign(old=True), new.assign(old=False)]), idle_us)
+            after = periods.groupby("part", sort=False).agg(key=("key", "first"), first=("first", "min"), last=("last", "max"), n=("n", "sum"), old=("old", "all"))
+            self._keep(after, timerValues)
+            start = after["first"].reindex(periods["part"]).to_numpy()
+            lost = periods[periods["old"] & (periods["first"] != start)]
+            out = pd.concat([after[~after["old"]].assign(**{gone: False}), lost.assign(**{gone: True})])
+            yield out[["key", "first", "last", "n", gone]]
 
         def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-            over = 1000 * timerValues.getCurrentWatermarkInMs()
-            still = [tuple(p) for p in self.open.get() if p[1] + idle_us >= over] if self.open.exists() else []
-            if still:
-                self.open.put(still)
-                self._wake(still, timerValues)
-            else:
-                self.open.clear()
+            before = self._load()
+            self._keep(before[before["last"] + idle_us >= 1000 * timerValues.getCurrentWatermarkInMs()], timerValues)
             return iter(())
 
         def close(self) -> None:
             pass
 
-        def _wake(self, periods, times) -> None:
-            first = min(p[1] for p in periods) + idle_us
+        def _load(self):
+            import pyarrow as pa
+
+            if self.open.exists():
+                return pa.ipc.open_stream(self.open.get()[0]).read_pandas()
+            return pa.table({c: pa.array([], pa.string() if c == "key" else pa.int64()) for c in ("key", "first", "last", "n")}).to_pandas()
+
+        def _keep(self, periods, times) -> None:
+            """In Arrow's own format; a timer for the end of the first period."""
+            import pyarrow as pa
+
+            if periods.empty:
+                self.open.clear()
+                return
+            table = pa.Table.from_pandas(periods[["key", "first", "last", "n"]], preserve_index=False)
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, table.schema) as out:
+                out.write_table(table)
+            self.open.update((sink.getvalue().to_pybytes(),))
+            first = int(periods["last"].min()) + idle_us
             self.handle.registerTimer(max(first // 1000 + 1, times.getCurrentWatermarkInMs() + 1))
 
     counted = (
-        clicks.mapInPandas(reduce, f"{key_schema}, last_ts timestamp, first_us bigint, last_us bigint, n bigint")
+        clicks.mapInPandas(reduce, "key string, last_ts timestamp, first bigint, last bigint, n bigint")
         .withWatermark("last_ts", lateness)
-        .groupBy(*keys)
-        .transformWithStateInPandas(
-            Periods(), f"{key_schema}, first_us bigint, last_us bigint, click_count bigint, {gone} boolean", "Update", "EventTime"
-        )
+        .withColumn("part", F.pmod(F.xxhash64("key"), F.lit(parts)).cast("int"))
+        .groupBy("part")
+        .transformWithStateInPandas(Periods(), f"key string, first bigint, last bigint, n bigint, {gone} boolean", "Update", "EventTime")
     )
-    return counted.select(
-        *keys,
-        F.timestamp_micros("first_us").alias("period_start"),
-        F.timestamp_micros(F.col("last_us") + idle_us).alias("period_end"),
-        "click_count",
+    return counted.withColumn("key", F.from_json("key", key_type)).select(
+        "key.*",
+        F.timestamp_micros("first").alias("period_start"),
+        F.timestamp_micros(F.col("last") + idle_us).alias("period_end"),
+        F.col("n").alias("click_count"),
         gone,
     )
