@@ -12,12 +12,16 @@ from pyspark.sql import functions as F
 
 from tallyloom.functions.text import split_words
 from tallyloom.operators.best_products import best_products
+from tallyloom.operators.word_vectors import nearest_words, word_vectors
+from tallyloom.shared_folder import staged
 
 # News categories and their numbers.
 NEWS_LABELS = {"b": 0.0, "t": 1.0, "e": 2.0, "m": 3.0}
 
 #: Ratings of a block of ``als_train``: about 50 bytes each while it is made, and a factor of the other side for each at most.
 BLOCK_ROWS = 2_000_000
+#: Words of a vocabulary that ``word2vec_synonyms`` leaves to Spark's trainer: about 4 KB each on the driver.
+DRIVER_WORDS = 100_000
 
 
 def als_train(
@@ -144,12 +148,18 @@ def word2vec_synonyms(
     seed: int = 42,
     min_count: int = 5,
     partitions: int | None = None,
+    driver_words: int = DRIVER_WORDS,
 ) -> DataFrame:
     """The words nearest to ``word``; ``col`` holds lists of words.
 
-    Spark would train in one task; here it is one for each core unless given.  Vocabulary and vectors are on the driver:
-    100 numbers for each word that is there ``min_count`` times, so raise that for texts with very many different words.
+    Spark would train in one task; here it is one for each core unless given.  Spark's trainer has vocabulary and vectors
+    on the driver, so it gets no more than ``driver_words`` words that are there ``min_count`` times; with more, all of
+    it stays in tables (``word_vectors``), and a task has the vectors of its own texts' words.
     """
+    words = df.select(F.explode(col).alias("word")).where("word IS NOT NULL").groupBy("word").agg(F.count(F.lit(1)).alias("cnt"))
+    vocabulary = staged(words.where(F.col("cnt") >= min_count), "vocabulary")
+    if vocabulary.count() > driver_words:
+        return nearest_words(staged(word_vectors(df, col, vocabulary, seed, partitions), "vectors"), word, n)
     trainer = Word2Vec(inputCol=col, outputCol="vector", minCount=min_count, seed=seed)
     trainer.setNumPartitions(partitions or df.sparkSession.sparkContext.defaultParallelism)
     return trainer.fit(df.select(col)).findSynonyms(word, n)
