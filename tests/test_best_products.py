@@ -71,3 +71,12 @@ def test_blocks_follow_the_rows(spark):
     rows = spark.createDataFrame([(u, i, float(u % 5)) for u in range(60) for i in range(40)], "user_id int, item_id int, rating double")
     assert ml.als_train(rows, iters=1, block_rows=100).userFactors.rdd.getNumPartitions() == 24
     assert ml.als_train(rows, iters=1, blocks=5, block_rows=100).userFactors.rdd.getNumPartitions() == 5
+
+
+def test_a_task_reads_the_users_of_one_block(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(ml.ALS, "fit", lambda self, df: seen.append((df, self.getNumUserBlocks())))
+    ml.als_train(spark.createDataFrame([(u, i, 1.0) for u in range(-30, 30) for i in range(4)] + [(None, 1, 1.0)], "user_id int, item_id int, rating double"), blocks=7)
+    df, blocks = seen[0]
+    parts = df.rdd.mapPartitions(lambda rows: [{(r.user_id or 0) % 7 for r in rows}]).collect()
+    assert blocks == 7 and sorted(map(sorted, parts)) == [[b] for b in range(7)] and df.count() == 241
