@@ -20,7 +20,7 @@ NEWS_LABELS = {"b": 0.0, "t": 1.0, "e": 2.0, "m": 3.0}
 
 #: Ratings of a block of ``als_train``: about 50 bytes each while it is made, and a factor of the other side for each at most.
 BLOCK_ROWS = 2_000_000
-#: Words of a vocabulary that ``word2vec_synonyms`` leaves to Spark's trainer: about 4 KB each on the driver.
+#: Words of a vocabulary, at most, that ``word2vec_synonyms`` leaves to Spark's trainer.
 DRIVER_WORDS = 100_000
 
 
